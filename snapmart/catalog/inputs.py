@@ -125,7 +125,7 @@ def landed_records(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c)
         for c in ("extracted_at", "transformed_at")
     ]
-    return rows.select(*fields, *times, "event_id", "_loaded_at")
+    return rows.select(*fields, "carbon_pct_of_total", *times, "event_id", "_loaded_at")
 
 
 def landed_lines(spark: SparkSession, sf: str) -> str:

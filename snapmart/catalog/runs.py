@@ -107,7 +107,7 @@ def batch_run(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs: the second goes on from the state of the first. Warnings do not stop them."""
     from dataclasses import replace
 
-    cfg = _config(spark, sf, 2001, 2010, warn_only=True)
+    cfg = _config(spark, sf, 2001, 2010, warn_only=True, layout="records")
     for end, day in ((2010, 30), (2020, 31)):
         done = batch.batch_run(spark, replace(cfg, end_year=end, at=datetime(2024, 1, day)))
         if done["status"] != "success":

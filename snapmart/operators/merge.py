@@ -1,7 +1,7 @@
 """Upserts as joins; writing the result is the business of ``tables``.
 
-Keys must be unique and not null on both sides (dedupe the source first), so no key can be
-hot in the join.
+Keys must be unique on both sides (dedupe the source first), so no key can be hot in the join.
+A row without a key fails the job when it is reached.
 """
 
 from __future__ import annotations
@@ -50,8 +50,8 @@ def merge(
     source) the target is not shuffled: it is left-joined to a broadcast of the source, and the
     inserts come from an anti join against the matched keys, which are no more than the source.
     """
-    on = list(key)
-    columns = target.columns
+    on, columns = list(key), target.columns
+    no_key = F.raise_error(F.lit("merge key is null"))
     replaced = {c for c in columns if c not in on} if update is None else set(update)
 
     def pick(name: str) -> Column:
@@ -59,7 +59,7 @@ def merge(
             return F.when(F.col(ACTION) == KEEP, _target(name)).otherwise(stamp[1]).alias(name)
         src = _source(name) if name in source.columns else F.lit(None)
         if name in on:
-            return F.coalesce(_target(name), _source(name)).alias(name)
+            return F.coalesce(_target(name), _source(name), no_key).alias(name)
         fresh = F.col(ACTION).isin(INSERT, UPDATE) if name in replaced else F.col(ACTION) == INSERT
         return F.when(fresh, src).otherwise(_target(name)).alias(name)
 
@@ -91,6 +91,7 @@ def merge(
         if stamp and name == stamp[0]:
             return stamp[1].alias(name)
         col = F.col(name) if name in source.columns else F.lit(None)
+        col = F.coalesce(col, no_key) if name in on else col
         return col.cast(target.schema[name].dataType).alias(name)
 
     inserted = fresh.select(*[new_value(c) for c in columns], F.lit(INSERT).alias(ACTION))

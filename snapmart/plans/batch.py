@@ -12,11 +12,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart import schemas
+from snapmart.functions import is_missing, safe_long
 from snapmart.operators import clean, dedupe
 from snapmart.quality import preload
 from snapmart.sources.landed import (
@@ -25,6 +26,7 @@ from snapmart.sources.landed import (
     flatten_documents,
     landed_schema,
     read_documents,
+    read_records,
 )
 from snapmart.tables import state as S
 from snapmart.tables import store, zones
@@ -60,7 +62,10 @@ def transform_enriched(
 
 @dataclass(frozen=True)
 class RunConfig:
-    """One batch run: where files land, where tables live, what to load."""
+    """One batch run: where files land, where tables live, what to load.
+
+    ``layout`` is 'records' (a record per line), 'lines' (a document per line) or 'files'.
+    """
 
     landing: str
     root: str
@@ -136,8 +141,10 @@ def staging_rows(facts: DataFrame, at) -> DataFrame:
 
 
 def _landed_facts(spark: SparkSession, cfg: RunConfig, window: tuple[int, int]) -> DataFrame:
-    docs = read_documents(spark, cfg.landing, cfg.layout, years=window)
-    rows = flatten_documents(docs)
+    if cfg.layout == "records":
+        rows = read_records(spark, cfg.landing, years=window)
+    else:
+        rows = flatten_documents(read_documents(spark, cfg.landing, cfg.layout, years=window))
     if cfg.record_types is None:
         return rows
     return rows.filter(F.col("record").isin(list(cfg.record_types)) | F.col(CORRUPT).isNotNull())
@@ -145,6 +152,8 @@ def _landed_facts(spark: SparkSession, cfg: RunConfig, window: tuple[int, int])
 
 def _landed_countries(spark: SparkSession, cfg: RunConfig) -> DataFrame:
     """Countries from their own landing, or from the envelopes the facts came in."""
+    if cfg.countries_landing is not None and cfg.layout == "records":
+        return read_records(spark, cfg.countries_landing, "countries")
     docs = read_documents(spark, cfg.countries_landing or cfg.landing, cfg.layout)
     return flatten_documents(docs, "countries", bare=cfg.countries_landing is not None)
 
@@ -159,6 +168,27 @@ def _typed_countries(landed: DataFrame, at: datetime) -> DataFrame:
     return clean.normalise_countries(landed.filter(F.col(CORRUPT).isNull()), at, keep=INPUT_ORDER)
 
 
+def _landed_rules(landed: DataFrame) -> dict:
+    """Why a landed row cannot become a fact."""
+    return {
+        "unparsable": F.col(CORRUPT).isNotNull(),
+        "no country code": safe_long(F.col("countryCode")).isNull(),
+        "no year": safe_long(F.col("year")).isNull(),
+        "no record type": is_missing(landed, "record"),
+    }
+
+
+def quarantine(landed: DataFrame, root: str, name: str) -> int:
+    """Keep landed rows that cannot become facts, with their reasons; returns how many."""
+    bad = clean.quarantine_split(landed, _landed_rules(landed))[1]
+    seen = Observation()
+    if bad.limit(1).count() == 0:
+        return 0
+    rows = bad.observe(seen, F.count("*").alias("rows"))
+    rows.write.mode("errorifexists").parquet(f"{root}/failed/snapshot={name}")
+    return seen.get["rows"]
+
+
 def _types_of(facts: DataFrame) -> DataFrame:
     return facts.select("record_type", F.col("record_type").alias("description")).distinct()
 
@@ -221,12 +251,13 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
             return run.end("no_data")
 
         landed = read_raw_snapshot(spark, raw["path"])
+        run.metrics["quarantined"] = quarantine(landed, cfg.root, zones.snapshot_name(at))
         countries = _typed_countries(_landed_countries(spark, cfg), at)
         facts = _typed_facts(landed, at, window)
         countries, facts = transform_batch(countries, facts, at)
         if cfg.enforce_contract:
             facts, broken = clean.contract_enforce(facts, schemas.FACT)
-            broken.write.mode("errorifexists").parquet(f"{cfg.root}/failed/snapshot={run.id}")
+            broken.write.mode("errorifexists").parquet(f"{cfg.root}/failed/contract={run.id}")
         facts.persist()
         countries.persist()
         try:

@@ -32,19 +32,23 @@ def build_session(app: str = "snapmart", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Only a local session may fall back to a folder of this machine.
     """
-    configured = spark.conf.get(SHARED_DIR_SETTING, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(SHARED_DIR_SETTING, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {SHARED_DIR_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="snapmart-")
-    spark.conf.set(SHARED_DIR_SETTING, folder)
-    return folder
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="snapmart-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

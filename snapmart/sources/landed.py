@@ -1,6 +1,7 @@
 """Landed JSON: whole documents (an envelope or a bare array per file) or JSON Lines.
 
-A whole document is one task, so large landings should be JSON Lines, which Spark splits.
+A whole document is one task, so large landings should be JSON Lines, which Spark splits; lines
+that are single records go through ``read_records``, which skips the flattening.
 Scalars are read as text; ``normalise_records`` casts them, so a misfit is seen, not lost.
 """
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart import schemas
+from snapmart.functions import safe_long
 
 CORRUPT = "_corrupt_record"
 SOURCE, ROW, BLOCK, SEQ = "_source_file", "_row_number", "_block", "_seq"
@@ -80,29 +82,61 @@ def flatten_documents(
     whole = T.StructType([*whole.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
-    text = F.col("document")
-    is_array = F.ltrim(text).startswith("[")
-    as_array = F.from_json(text, T.ArrayType(record))
-    as_object = F.from_json(text, whole, options)
-    one = F.struct(*[as_object[f.name].alias(f.name) for f in record])
-    nothing = F.struct(*[F.lit(None).cast("string").alias(f.name) for f in record])
-    has_record = F.lit(bare) & F.coalesce(*[as_object[f.name] for f in record]).isNotNull()
-    from_object = F.when(as_object[section].isNotNull(), as_object[section]).when(
-        has_record, F.array(one)
+    # Parsed in a projection of its own, so each document is parsed once however often used.
+    is_array = F.ltrim("document").startswith("[")
+    parsed = docs.select(
+        *keep,
+        "document",
+        is_array.alias("_is_array"),
+        F.when(is_array, F.from_json("document", T.ArrayType(record))).alias("_array"),
+        F.when(~is_array, F.from_json("document", whole, options)).alias("_object"),
     )
-    broken = F.when(is_array, as_array.isNull()).otherwise(as_object[CORRUPT].isNotNull())
-    from_array = F.when(F.lit(bare), as_array)
+    obj, array = F.col("_object"), F.col("_array")
+    one = F.struct(*[obj[f.name].alias(f.name) for f in record])
+    nothing = F.struct(*[F.lit(None).cast("string").alias(f.name) for f in record])
+    has_record = F.lit(bare) & F.coalesce(*[obj[f.name] for f in record]).isNotNull()
+    from_object = F.when(obj[section].isNotNull(), obj[section]).when(has_record, F.array(one))
+    broken = F.when(F.col("_is_array"), array.isNull()).otherwise(obj[CORRUPT].isNotNull())
     records = (
-        F.when(broken, F.array(nothing)).when(is_array, from_array).otherwise(from_object)
+        F.when(broken, F.array(nothing))
+        .when(F.col("_is_array"), F.when(F.lit(bare), array))
+        .otherwise(from_object)
     )
-    rows = docs.select(
-        *keep, F.when(broken, text).alias(CORRUPT), F.posexplode(records).alias("_pos", "_rec")
+    rows = parsed.select(
+        *keep,
+        F.when(broken, F.col("document")).alias(CORRUPT),
+        F.posexplode(records).alias("_pos", "_rec"),
     )
     return rows.select(
         "_rec.*", *keep, (F.col("_pos") + 1).cast("bigint").alias(ROW), CORRUPT
     )
 
 
+def read_records(
+    spark: SparkSession,
+    path: str,
+    section: str = "footprint_data",
+    years: tuple[int, int] | None = None,
+) -> DataFrame:
+    """JSON Lines of single records, by Spark's own JSON reader: the fastest way in.
+
+    Same columns as ``flatten_documents``.
+    """
+    fields = _record_fields(section)
+    schema = _texts([*fields, CORRUPT])
+    rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    if years is not None:
+        rows = rows.filter(safe_long(F.col("year")).between(*years) | F.col(CORRUPT).isNotNull())
+    return rows.select(
+        *fields,
+        F.col("_metadata.file_path").alias(SOURCE),
+        F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias(SEQ),
+        F.lit(1).cast("bigint").alias(ROW),
+        CORRUPT,
+    )
+
+
 def read_envelope(
     spark: SparkSession,
     path: str,

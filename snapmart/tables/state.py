@@ -6,13 +6,25 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.tables.store import list_folders
 
 
-def _append(spark: SparkSession, path: str, row: tuple, schema) -> None:
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+def _literal(value, field: T.StructField) -> Column:
+    if isinstance(value, dict):
+        pairs = [F.lit(x) for pair in value.items() for x in pair]
+        col = F.create_map(*pairs) if pairs else F.create_map()
+    else:
+        col = F.lit(value)
+    return col.cast(field.dataType).alias(field.name)
+
+
+def _append(spark: SparkSession, path: str, row: tuple, schema: T.StructType) -> None:
+    """One row, made of literals, as one small file."""
+    cells = [_literal(value, field) for value, field in zip(row, schema)]
+    spark.range(0, 1, 1, 1).select(*cells).write.mode("append").parquet(path)
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
