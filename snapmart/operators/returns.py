@@ -26,13 +26,20 @@ def _grouped(perf: DataFrame, calendar: DataFrame, observations: str, guard: boo
     )
 
 
-def weekly_returns(perf: DataFrame, calendar: DataFrame, guard: bool = False) -> DataFrame:
+def _in_order(df: DataFrame, ordered: bool) -> DataFrame:
+    return df.orderBy(*WEEK_KEY) if ordered else df
+
+
+def weekly_returns(
+    perf: DataFrame, calendar: DataFrame, guard: bool = False, ordered: bool = True
+) -> DataFrame:
     """Compounded return per fund, type and week over the observed trading days.
 
     A return of -1 or less has no logarithm and drops out of the sum but not of the count;
-    ``guard`` leaves such rows out altogether.
+    ``guard`` leaves such rows out altogether. Turn ``ordered`` off before further steps: the
+    order costs a shuffle of its own.
     """
-    return _grouped(perf, calendar, "n_observations", guard).orderBy(*WEEK_KEY)
+    return _in_order(_grouped(perf, calendar, "n_observations", guard), ordered)
 
 
 def expected_days(calendar: DataFrame) -> DataFrame:
@@ -44,24 +51,26 @@ def expected_days(calendar: DataFrame) -> DataFrame:
     )
 
 
-def weekly_returns_strict(perf: DataFrame, calendar: DataFrame, guard: bool = False) -> DataFrame:
+def weekly_returns_strict(
+    perf: DataFrame, calendar: DataFrame, guard: bool = False, ordered: bool = True
+) -> DataFrame:
     """Only weeks in which every trading day has a return."""
     weeks = _grouped(perf, calendar, "n_observations", guard)
-    return (
+    complete = (
         weeks.join(expected_days(calendar), "week_start_date")
         .filter("n_observations = expected_trading_days")
         .select(*WEEK_KEY, "expected_trading_days", "n_observations", "weekly_return")
-        .orderBy(*WEEK_KEY)
     )
+    return _in_order(complete, ordered)
 
 
 def weekly_returns_coverage(
-    perf: DataFrame, calendar: DataFrame, guard: bool = False
+    perf: DataFrame, calendar: DataFrame, guard: bool = False, ordered: bool = True
 ) -> DataFrame:
     """Every week with how much of it was observed."""
     observed, expected = F.col("observed_trading_days"), F.col("expected_trading_days")
     ratio = F.try_divide(observed.cast("double"), expected.cast("double"))
-    return (
+    weeks = (
         _grouped(perf, calendar, "observed_trading_days", guard)
         .join(expected_days(calendar), "week_start_date")
         .select(
@@ -74,8 +83,8 @@ def weekly_returns_coverage(
             "last_market_date_in_week",
             "weekly_return",
         )
-        .orderBy(*WEEK_KEY)
     )
+    return _in_order(weeks, ordered)
 
 
 def invalid_returns(perf: DataFrame) -> DataFrame:

@@ -124,8 +124,12 @@ TYPE_ROWS = schemas._struct({"record_type": schemas.TEXT}, {"description": schem
 
 
 def read_raw_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """A raw snapshot with its fields as text and its input order."""
-    return spark.read.schema(landed_schema()).json(path)
+    """A raw snapshot with its fields as text and its input order.
+
+    The snapshot holds text that did not parse in a column of its own, which is data here.
+    """
+    reader = spark.read.schema(landed_schema()).option("columnNameOfCorruptRecord", "_unread")
+    return reader.json(path)
 
 
 def staging_rows(facts: DataFrame, at) -> DataFrame:
@@ -172,8 +176,8 @@ def _landed_rules(landed: DataFrame) -> dict:
     """Why a landed row cannot become a fact."""
     return {
         "unparsable": F.col(CORRUPT).isNotNull(),
-        "no country code": safe_long(F.col("countryCode")).isNull(),
-        "no year": safe_long(F.col("year")).isNull(),
+        "no country code": F.coalesce(safe_long(F.col("countryCode")), F.lit(0)) == 0,
+        "no year": F.coalesce(safe_long(F.col("year")), F.lit(0)) == 0,
         "no record type": is_missing(landed, "record"),
     }
 

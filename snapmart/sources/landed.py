@@ -48,13 +48,18 @@ def landed_schema(section: str = "footprint_data") -> T.StructType:
 
 
 def read_documents(
-    spark: SparkSession, path: str, layout: str = "lines", years: tuple[int, int] | None = None
+    spark: SparkSession,
+    path: str,
+    layout: str = "lines",
+    years: tuple[int, int] | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """Landed texts with file and order columns; ``layout`` is 'lines' or 'files'.
 
     Where files lie in ``year=`` folders, ``years`` keeps the others from being read.
+    ``recursive`` takes any folders and treats none of them as columns.
     """
-    texts = spark.read.option("wholetext", layout == "files").text(path)
+    texts = spark.read.text(path, wholetext=layout == "files", recursiveFileLookup=recursive)
     if years is not None and "year" in texts.columns:
         texts = texts.filter(F.col("year").between(*years))
     return texts.select(

@@ -13,7 +13,7 @@ def matching_documents(
 ) -> DataFrame:
     """Documents of the files below ``path`` whose path relative to it matches."""
     root = path.rstrip("/")
-    docs = read_documents(spark, root, layout)
+    docs = read_documents(spark, root, layout, recursive=True)
     relative = F.regexp_replace(F.col(SOURCE), f"^.*{_quoted(root)}/", "")
     return docs.withColumn("file_name", relative).filter(F.col("file_name").rlike(pattern))
 

@@ -207,7 +207,9 @@ def multi_target(
     df: DataFrame, targets: Mapping[str, Callable[[DataFrame], object]]
 ) -> list[dict[str, object]]:
     """Hand one prepared set to several loaders; a failing one does not stop the others."""
-    df.persist()
+    shared = len(targets) > 1
+    if shared:
+        df.persist()
     results = []
     try:
         for name, load in targets.items():
@@ -216,5 +218,6 @@ def multi_target(
             except Exception as error:  # the status of each target is the result
                 results.append({"target": name, "status": "failed", "result": str(error)})
     finally:
-        df.unpersist()
+        if shared:
+            df.unpersist()
     return results
