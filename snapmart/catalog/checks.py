@@ -325,8 +325,8 @@ _ORPHANS = check_sql(
 
 @query("sq_orphans", sql(_ORPHANS, "stg", "mart"))
 def sq_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    staging = I.staging(spark, sf)
-    return Q.run_checks(staging, [post.sq_orphans(staging, I.lagging_mart(spark, sf))])
+    staging = I.stored_staging(spark, sf)
+    return Q.run_checks(staging, [post.sq_orphans(staging, I.lagging_mart(staging))])
 
 
 def _on(source: str, select: str) -> str:
@@ -343,7 +343,8 @@ _UNION = " UNION ALL ".join(
     sql(f"SELECT *, TIMESTAMP '{AS_OF}' AS check_timestamp FROM ({_UNION}) AS u", "stg", "mart"),
 )
 def sq_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return post.sq_metrics(I.staging(spark, sf), I.lagging_mart(spark, sf), I.as_of())
+    staging = I.stored_staging(spark, sf)
+    return post.sq_metrics(staging, I.lagging_mart(staging), I.as_of())
 
 
 # Calendar and returns.

@@ -11,6 +11,7 @@ from snapmart.operators.dedupe import dedupe_latest
 from snapmart.operators.marts import mart_summary
 from snapmart.session import scratch_path
 from snapmart.sources.landed import calendar_flags
+from snapmart.tables.layout import cluster_layout
 
 # Event types as record types.
 RECORD_TYPE_OF = {
@@ -85,6 +86,17 @@ def staging(spark: SparkSession, sf: str) -> DataFrame:
     return _staged(facts(spark, sf))
 
 
+def stored(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """Rows written once by year and read back, for queries that read them more than once."""
+    path = scratch_path(spark, label)
+    cluster_layout(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def stored_staging(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, staging(spark, sf), "staging")
+
+
 def morning(spark: SparkSession, sf: str) -> DataFrame:
     """What was loaded before noon, deduplicated: the target of the merge queries."""
     return _staged(facts(spark, sf).filter(F.hour("_loaded_at") < 12))
@@ -99,9 +111,9 @@ def staging_columns(df: DataFrame) -> DataFrame:
     return df.select(*[f.name for f in schemas.STAGING])
 
 
-def lagging_mart(spark: SparkSession, sf: str) -> DataFrame:
+def lagging_mart(staged: DataFrame) -> DataFrame:
     """A mart that has not seen the last days."""
-    return mart_summary(staging(spark, sf).filter(F.col("_loaded_at") < "2024-01-20"))
+    return mart_summary(staged.filter(F.col("_loaded_at") < "2024-01-20"))
 
 
 def countries(spark: SparkSession, sf: str) -> DataFrame:

@@ -141,7 +141,8 @@ def missing_calendar_dates(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def orphaned_staging(spark: SparkSession, sf: str) -> DataFrame:
-    return lookups.orphaned_staging(I.staging(spark, sf), I.lagging_mart(spark, sf))
+    staging = I.stored_staging(spark, sf)
+    return lookups.orphaned_staging(staging, I.lagging_mart(staging))
 
 
 @query(
@@ -155,4 +156,4 @@ def orphaned_staging(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def latest_per_country(spark: SparkSession, sf: str) -> DataFrame:
-    return lookups.latest_per_country(I.staging(spark, sf))
+    return lookups.latest_per_country(I.stored_staging(spark, sf))

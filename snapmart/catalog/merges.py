@@ -111,7 +111,7 @@ def merge_newer_wins_small_source(spark: SparkSession, sf: str) -> DataFrame:
     """The way taken for a source that has been counted and found small."""
     from snapmart.tables.store import is_small
 
-    target, source = _loads(spark, sf)
+    target, source = (I.stored(spark, rows, "load") for rows in _loads(spark, sf))
     merged = M.merge_newer_wins(target, source, as_of=I.as_of(), small_source=is_small(source))
     return merged.select(*OUTPUT)
 
@@ -155,8 +155,9 @@ MART_NAMES = ["country_name", "iso_alpha2", *schemas.MART_METRICS]
     ),
 )
 def merge_mart(spark: SparkSession, sf: str) -> DataFrame:
-    mart = I.lagging_mart(spark, sf).withColumn("_updated_at", I.as_of("2024-01-20"))
-    recent = mart_summary(I.staging(spark, sf).filter(F.col("_loaded_at") >= "2024-01-10"))
+    staging = I.stored_staging(spark, sf)
+    mart = I.lagging_mart(staging).withColumn("_updated_at", I.as_of("2024-01-20"))
+    recent = mart_summary(staging.filter(F.col("_loaded_at") >= "2024-01-10"))
     merged = M.merge_mart(mart, recent.withColumn("_updated_at", I.as_of()), I.as_of())
     return merged.drop(M.ACTION)
 

@@ -49,6 +49,7 @@ def merge(
     column on inserted and updated rows. With ``small_source`` (the caller has counted the
     source) the target is not shuffled: it is left-joined to a broadcast of the source, and the
     inserts come from an anti join against the matched keys, which are no more than the source.
+    Target rows then stay in the partitions they were read in.
     """
     on, columns = list(key), target.columns
     no_key = F.raise_error(F.lit("merge key is null"))
@@ -95,7 +96,7 @@ def merge(
         return col.cast(target.schema[name].dataType).alias(name)
 
     inserted = fresh.select(*[new_value(c) for c in columns], F.lit(INSERT).alias(ACTION))
-    return kept.unionByName(inserted)
+    return kept.unionByName(inserted.hint("rebalance"))
 
 
 def merge_newer_wins(

@@ -222,21 +222,23 @@ def _window(spark: SparkSession, cfg: RunConfig) -> tuple[int, int]:
 
 
 class _Run:
-    """Bookkeeping of one run: a run log row per stage and the metrics to return."""
+    """Bookkeeping of one run: a run log row per stage, written at its end, and the metrics."""
 
     def __init__(self, spark: SparkSession, cfg: RunConfig):
         self.spark, self.cfg = spark, cfg
         self.id, self.clock = uuid.uuid4().hex, time.monotonic()
         self.metrics: dict[str, object] = {"run_id": self.id, "loaded": {}}
+        self.stages: list[tuple] = []
 
     def log(self, stage: str, status: str, **facts) -> None:
         millis = int((time.monotonic() - self.clock) * 1000)
-        at = self.cfg.now()
-        S.log_run(self.spark, self.cfg.log_path, self.id, stage, status, at, millis=millis, **facts)
+        row = S.log_row(self.id, stage, status, self.cfg.now(), millis=millis, **facts)
+        self.stages.append(row)
         self.clock = time.monotonic()
 
     def end(self, status: str) -> dict[str, object]:
         self.metrics["status"] = status
+        S.log_runs(self.spark, self.cfg.log_path, self.stages)
         return self.metrics
 
 
@@ -314,7 +316,11 @@ def direct_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
     countries = dedupe.dedupe_countries(
         _typed_countries(_landed_countries(spark, cfg), at), INPUT_ORDER
     ).withColumn("transformed_at", F.lit(None).cast("timestamp_ntz"))
-    return {t: _load(cfg, t, facts, countries, True) for t in cfg.targets}
+    facts.persist()
+    try:
+        return {t: _load(cfg, t, facts, countries, True) for t in cfg.targets}
+    finally:
+        facts.unpersist()
 
 
 def extract_stage(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:

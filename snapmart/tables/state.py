@@ -21,10 +21,11 @@ def _literal(value, field: T.StructField) -> Column:
     return col.cast(field.dataType).alias(field.name)
 
 
-def _append(spark: SparkSession, path: str, row: tuple, schema: T.StructType) -> None:
-    """One row, made of literals, as one small file."""
-    cells = [_literal(value, field) for value, field in zip(row, schema)]
-    spark.range(0, 1, 1, 1).select(*cells).write.mode("append").parquet(path)
+def _append(spark: SparkSession, path: str, rows: list[tuple], schema: T.StructType) -> None:
+    """A few rows, made of literals, as one small file."""
+    cells = [F.struct(*[_literal(v, f) for v, f in zip(row, schema)]) for row in rows]
+    one = spark.range(0, 1, 1, 1).select(F.inline(F.array(*cells)))
+    one.write.mode("append").parquet(path)
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -40,7 +41,7 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 def write_state(
     spark: SparkSession, path: str, job: str, last_year: int, load_id: str, at: datetime
 ) -> None:
-    _append(spark, path, (job, at, last_year, load_id), schemas.STATE)
+    _append(spark, path, [(job, at, last_year, load_id)], schemas.STATE)
 
 
 def current_state(state: DataFrame) -> DataFrame:
@@ -80,9 +81,7 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, schemas.RUN_LOG)
 
 
-def log_run(
-    spark: SparkSession,
-    path: str,
+def log_row(
     run_id: str,
     stage: str,
     status: str,
@@ -92,9 +91,20 @@ def log_run(
     source_file: str | None = None,
     error: str | None = None,
     metadata: dict[str, str] | None = None,
-) -> None:
-    row = (at, run_id, stage, status, records, millis, source_file, error, metadata or {})
-    _append(spark, path, row, schemas.RUN_LOG)
+) -> tuple:
+    """One stage of a run as a row of the run log."""
+    return (at, run_id, stage, status, records, millis, source_file, error, metadata or {})
+
+
+def log_runs(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    """Append the stages of a run together."""
+    if rows:
+        _append(spark, path, rows, schemas.RUN_LOG)
+
+
+def log_run(spark: SparkSession, path: str, *stage, **facts) -> None:
+    """Append one stage, given as for ``log_row``."""
+    log_runs(spark, path, [log_row(*stage, **facts)])
 
 
 def observed_last_year(df: DataFrame, default: int) -> Column | int:

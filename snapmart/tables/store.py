@@ -105,6 +105,10 @@ def _spread(df: DataFrame, table: Table) -> DataFrame:
     return rebalanced(df, [table.partition_by] if table.partition_by else [], table.sort_by)
 
 
+def _sorted(df: DataFrame, table: Table) -> DataFrame:
+    return df.sortWithinPartitions(table.partition_by, *table.sort_by)
+
+
 def load_append(df: DataFrame, table: Table, loaded_at) -> None:
     """Add rows to a landing table, stamped with the load time."""
     rows = df.withColumn("_loaded_at", literal(loaded_at))
@@ -146,8 +150,12 @@ def touched_partitions(target: DataFrame, source: DataFrame, column: str) -> Dat
 
 
 def is_small(df: DataFrame, rows: int = SMALL_SOURCE_ROWS) -> bool:
-    """Whether a frame has at most so many rows; looks at no more than that."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether a frame has at most so many rows.
+
+    A count moves one row per task, where a limit would move that many per task; of a stored or
+    persisted frame it is cheap.
+    """
+    return df.count() <= rows
 
 
 def apply_merge(
@@ -159,14 +167,18 @@ def apply_merge(
 ) -> dict[str, int]:
     """Merge ``source`` into the table with a merge operator and return the row counts.
 
-    The counts come from the write itself, taken in its last stage.
+    The counts come from the write itself, taken in its last stage. A small source leaves the
+    target rows in the partitions they were read in, one or few files of one year each, so they
+    are sorted and written back without any shuffle.
     """
     target = read_table(spark, table)
     if table.partition_by is not None:
         target = touched_partitions(target, source, table.partition_by)
     merged = how(target, source, **options)
     counts = Observation()
-    rows = _spread(merged, table).observe(
+    in_place = options.get("small_source") and table.partition_by is not None
+    spread = _sorted(merged, table) if in_place else _spread(merged, table)
+    rows = spread.observe(
         counts,
         *[
             F.count_if(F.col(M.ACTION) == action).alias(name)

@@ -10,9 +10,13 @@ from snapmart.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    # Tiny inputs: interpreting an expression is quicker than compiling it.
     session = build_session(
-        "tests", "local[8]",
-        spark__sql__shuffle__partitions="8",
+        "tests", "local[4]",
+        spark__sql__shuffle__partitions="4",
+        spark__sql__codegen__wholeStage="false",
+        spark__sql__codegen__factoryMode="NO_CODEGEN",
+        spark__sql__sources__parallelPartitionDiscovery__threshold="256",
         spark__ui__enabled="false",
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
