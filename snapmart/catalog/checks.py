@@ -187,6 +187,21 @@ register(
     check_sql("raw", "duplicates", "groups", "v <= 0", _repeats(KEY, "fp"), details=KEY),
     I.facts, "fp",
 )
+_SCHEMA = check_sql("raw", "schema", "2", "v <= 0", "(SELECT 1) AS one",
+                    details="record_category, per_capita")
+_MEASURED = check_sql("raw", "missing.value", "count(*) FILTER (WHERE value IS NULL)", "v <= 0")
+
+
+@query("pq_schema", sql(f"({_SCHEMA}) UNION ALL ({_MEASURED})", "fp"))
+def pq_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Two required columns do not exist: a failed row, not an error, next to the other check."""
+    rows = I.facts(spark, sf)
+    required = ["country_code", "year", "record_category", "per_capita"]
+    return Q.run_checks(
+        rows, [post.pq_schema(rows, "raw", required), post.pq_missing("raw", "value")]
+    )
+
+
 register(
     "pq_required_values", lambda df: post.pq_required_value("raw", "record_type", "EFCtot"),
     check_sql("raw", "present.record_type.EFCtot", "count(*) FILTER (WHERE record_type = 'EFCtot')",

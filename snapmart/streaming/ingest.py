@@ -136,7 +136,10 @@ class Layers:
 def merge_batch(
     batch: DataFrame, layers: Layers, as_of: Column | None = None
 ) -> dict[str, dict[str, int]]:
-    """One batch into staging, newest row per key winning, then the mart of the touched keys."""
+    """One batch into staging, newest row per key winning, then the mart of the touched keys.
+
+    Rows without a whole key stay in the landing table.
+    """
     spark = batch.sparkSession
     now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else as_of
     rows = dedupe_latest(batch.dropna(subset=schemas.FACT_KEY)).persist()
@@ -163,7 +166,7 @@ def refresh_mart(
     keys = touched.select(*schemas.MART_KEY).distinct()
     staging = store.touched_partitions(store.read_table(spark, layers.staging), keys, "year")
     summary = mart_summary_for(staging, keys).withColumn("_updated_at", as_of)
-    return store.apply_merge(spark, layers.mart, summary, M.merge_mart, as_of=as_of)
+    return store.apply_merge(spark, layers.mart, summary, M.merge_mart, touched=keys, as_of=as_of)
 
 
 def stream_merge(

@@ -22,6 +22,7 @@ from snapmart.tables.layout import literal, rebalanced
 
 MAX_PARTITION_VALUES = 5_000
 SMALL_SOURCE_ROWS = 200_000
+SMALL_SOURCE_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -149,13 +150,21 @@ def touched_partitions(target: DataFrame, source: DataFrame, column: str) -> Dat
     return target.filter(F.col(column).isin(values))
 
 
-def is_small(df: DataFrame, rows: int = SMALL_SOURCE_ROWS) -> bool:
-    """Whether a frame has at most so many rows.
+def is_small(
+    df: DataFrame, rows: int = SMALL_SOURCE_ROWS, text_bytes: int = SMALL_SOURCE_BYTES
+) -> bool:
+    """Whether a frame is bounded both in rows and in bytes of text.
 
-    A count moves one row per task, where a limit would move that many per task; of a stored or
-    persisted frame it is cheap.
+    The rows are counted first, which moves one number per task; text is measured only where
+    the rows are few. Meant for stored or persisted frames.
     """
-    return df.count() <= rows
+    if df.count() > rows:
+        return False
+    texts = [n for n, kind in df.dtypes if kind in ("string", "binary")]
+    if not texts:
+        return True
+    sizes = [F.coalesce(F.sum(F.octet_length(n).cast("bigint")), F.lit(0)) for n in texts]
+    return sum(df.agg(*[s.alias(n) for s, n in zip(sizes, texts)]).first()) <= text_bytes
 
 
 def apply_merge(
@@ -163,17 +172,20 @@ def apply_merge(
     table: Table,
     source: DataFrame,
     how: Callable[..., DataFrame],
+    touched: DataFrame | None = None,
     **options,
 ) -> dict[str, int]:
     """Merge ``source`` into the table with a merge operator and return the row counts.
 
+    ``touched`` tells the partitions of a source that is costly to compute twice.
     The counts come from the write itself, taken in its last stage. A small source leaves the
     target rows in the partitions they were read in, one or few files of one year each, so they
     are sorted and written back without any shuffle.
     """
     target = read_table(spark, table)
     if table.partition_by is not None:
-        target = touched_partitions(target, source, table.partition_by)
+        known = source if touched is None else touched
+        target = touched_partitions(target, known, table.partition_by)
     merged = how(target, source, **options)
     counts = Observation()
     in_place = options.get("small_source") and table.partition_by is not None

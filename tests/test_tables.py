@@ -146,6 +146,13 @@ def test_year_filter_prunes_folders(spark, path):
     assert "PartitionFilters: []" not in plan and "2021" in plan
 
 
+def test_small_means_few_rows_and_little_text(spark):
+    df = spark.range(10).select("id", F.lit("x" * 100).alias("text"))
+    assert store.is_small(df) and store.is_small(df.limit(0))
+    assert not store.is_small(df, rows=9)
+    assert not store.is_small(df, text_bytes=999)
+
+
 def test_raw_snapshots_are_immutable(spark, path):
     done = zones.write_raw_snapshot(frame(spark, (1, 2020, 1.0)), path, AT)
     assert done["record_count"] == 1 and done["path"].endswith("raw/snapshot=20240131_060000")
