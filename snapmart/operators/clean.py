@@ -21,9 +21,9 @@ def _stamp(value) -> Column:
 
 def _landed(df: DataFrame, fields: Mapping[str, str]) -> list[Column]:
     """Rename landed fields to columns; a field absent from the input becomes null text."""
-    cols = []
+    cols, present = [], set(df.columns)
     for name, field in fields.items():
-        col = F.col(field) if field in df.columns else F.lit(None).cast("string")
+        col = F.col(field) if field in present else F.lit(None).cast("string")
         if name in schemas.MEASURES:
             col = as_double(col)
         elif name == "year":

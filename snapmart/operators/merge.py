@@ -52,13 +52,14 @@ def merge(
     Target rows then stay in the partitions they were read in.
     """
     on, columns = list(key), target.columns
+    given, kinds = set(source.columns), {f.name: f.dataType for f in target.schema}
     no_key = F.raise_error(F.lit("merge key is null"))
     replaced = {c for c in columns if c not in on} if update is None else set(update)
 
     def pick(name: str) -> Column:
         if stamp and name == stamp[0]:
             return F.when(F.col(ACTION) == KEEP, _target(name)).otherwise(stamp[1]).alias(name)
-        src = _source(name) if name in source.columns else F.lit(None)
+        src = _source(name) if name in given else F.lit(None)
         if name in on:
             return F.coalesce(_target(name), _source(name), no_key).alias(name)
         fresh = F.col(ACTION).isin(INSERT, UPDATE) if name in replaced else F.col(ACTION) == INSERT
@@ -91,9 +92,9 @@ def merge(
     def new_value(name: str) -> Column:
         if stamp and name == stamp[0]:
             return stamp[1].alias(name)
-        col = F.col(name) if name in source.columns else F.lit(None)
+        col = F.col(name) if name in given else F.lit(None)
         col = F.coalesce(col, no_key) if name in on else col
-        return col.cast(target.schema[name].dataType).alias(name)
+        return col.cast(kinds[name]).alias(name)
 
     inserted = fresh.select(*[new_value(c) for c in columns], F.lit(INSERT).alias(ACTION))
     return kept.unionByName(inserted.hint("rebalance"))

@@ -136,12 +136,7 @@ def staging_rows(facts: DataFrame, at) -> DataFrame:
     """Facts with every staging column, stamped with load and update time."""
     stamp = literal(at)
     rows = facts.withColumns({"_loaded_at": stamp, "_updated_at": stamp})
-    return rows.select(
-        *[
-            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schemas.STAGING
-        ]
-    )
+    return store.shaped(rows, schemas.STAGING)
 
 
 def _landed_facts(spark: SparkSession, cfg: RunConfig, window: tuple[int, int]) -> DataFrame:

@@ -44,12 +44,12 @@ def document_stream(
 
 def raw_rows(records: DataFrame, loaded_at: Column) -> DataFrame:
     """Landed records, under old or new field names, as rows of the landing table."""
-    out = {"_loaded_at": loaded_at.cast("timestamp_ntz")}
+    out, columns = {"_loaded_at": loaded_at.cast("timestamp_ntz")}, set(records.columns)
     for field in schemas.RAW:
         if field.name in out:
             continue
         names = [field.name, schemas.RECORD_FIELDS.get(field.name, field.name)]
-        present = [F.col(n) for n in dict.fromkeys(names) if n in records.columns]
+        present = [F.col(n) for n in dict.fromkeys(names) if n in columns]
         value = F.coalesce(*present) if present else F.lit(None)
         if field.dataType == schemas.STAMP and present:
             out[field.name] = F.try_to_timestamp(value).cast("timestamp_ntz")

@@ -65,6 +65,17 @@ def _committed(spark: SparkSession, path: str) -> list[str]:
     return [p[: -len("/_SUCCESS")] for p in list_folders(spark, f"{path}/v=*/_SUCCESS")]
 
 
+def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a schema, cast; those ``df`` lacks are null."""
+    present = set(df.columns)
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
 def read_table(spark: SparkSession, table: Table, evolved: bool = False) -> DataFrame:
     """The table as stored, or an empty frame of its schema.
 
@@ -221,10 +232,7 @@ def insert_or_replace(df: DataFrame, path: str) -> dict[str, int]:
     """Upsert the 17 fact columns; missing ones are null."""
     kinds = {f.name: f.dataType for f in schemas.STAGING}
     schema = T.StructType([T.StructField(c, kinds[c]) for c in FACT_COLUMNS])
-    rows = df.select(
-        *[(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in FACT_COLUMNS]
-    )
-    return load_merge(rows, fact_table(path, schema))
+    return load_merge(shaped(df, schema), fact_table(path, schema))
 
 
 def multi_target(
