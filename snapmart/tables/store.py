@@ -21,6 +21,7 @@ from snapmart.operators import merge as M
 from snapmart.tables.layout import literal, rebalanced
 
 MAX_PARTITION_VALUES = 5_000
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 SMALL_SOURCE_ROWS = 200_000
 SMALL_SOURCE_BYTES = 64 * 1024 * 1024
 
@@ -131,22 +132,26 @@ def load_replace(df: DataFrame, table: Table) -> None:
     """Put ``df`` in place of the whole table.
 
     New partitions are swapped in first, then folders ``df`` has no rows for are removed, so
-    the old rows stay readable until the new ones are complete.
+    the old rows stay readable until the new ones are complete. The write itself reports which
+    folders it filled.
     """
     if table.partition_by is None:
         _save(_spread(df, table), table, "overwrite")
         return
-    spark, column = df.sparkSession, table.partition_by
-    values = partition_values(df, column)
-    if values is None:
-        raise ValueError(f"more than {MAX_PARTITION_VALUES} partitions in {column}")
-    _save(_spread(df, table), table, "overwrite")
-    kept = {f"{column}={v}" for v in values}
+    spark, column, seen = df.sparkSession, table.partition_by, Observation()
+    name = F.coalesce(F.col(column).cast("string"), F.lit(NULL_FOLDER))
+    _save(_spread(df, table).observe(seen, F.collect_set(name).alias("names")), table, "overwrite")
+    written = {f"{column}={n}" for n in seen.get.get("names") or folder_names(df, name)}
     for folder in list_folders(spark, f"{table.path}/{column}=*"):
-        if folder.rsplit("/", 1)[1] not in kept:
+        if folder.rsplit("/", 1)[1] not in written:
             delete_folder(spark, folder)
 
 
+def folder_names(df: DataFrame, name: Column) -> list[str]:
+    """Names of the partitions of a frame whose write reported none."""
+    return [r[0] for r in df.select(name).distinct().collect()]
+
+
 def partition_values(df: DataFrame, column: str) -> list | None:
     """Distinct partition values, or None when there are too many to list."""
     found = df.select(column).distinct().limit(MAX_PARTITION_VALUES + 1).collect()
@@ -209,7 +214,7 @@ def apply_merge(
         ],
     )
     _save(rows.drop(M.ACTION), table, "overwrite")
-    return dict(counts.get)
+    return {"inserted": 0, "updated": 0, "unchanged": 0, **counts.get}
 
 
 def load_merge(

@@ -63,6 +63,15 @@ def test_replace_drops_partitions_that_are_gone(spark, path):
     assert rows(store.read_table(spark, t), "id", "year") == [(2, 2021)]
 
 
+def test_replace_with_nothing_and_with_null_partitions(spark, path):
+    t = table(path)
+    store.load_replace(frame(spark, (1, 2020, 1.0), (2, None, 2.0)), t)
+    store.load_replace(frame(spark, (3, None, 3.0)), t)
+    assert rows(store.read_table(spark, t), "id") == [(3,)]
+    store.load_replace(frame(spark), t)
+    assert store.read_table(spark, t).count() == 0
+
+
 def test_append_adds(spark, path):
     schema = schemas.T.StructType([*LONGS.fields]).add("_loaded_at", "timestamp_ntz")
     t = store.Table(f"{path}/raw", schema, ["id"], "year")
