@@ -63,7 +63,7 @@ def summary_view(spark: SparkSession, sf: str) -> DataFrame:
     "trends_view",
     sql(
         """SELECT country_name, iso_alpha2, year,
-        round(sum(CASE WHEN record_type LIKE '%EFConsTot%' THEN value END), 6) AS total_footprint,
+        round(sum(value) FILTER (WHERE contains(record_type, 'EFConsTot')), 6) AS total_footprint,
         round(sum(carbon), 6) AS carbon_footprint,
         max(carbon_pct_of_total) AS carbon_percentage
         FROM stg GROUP BY country_name, iso_alpha2, year""",

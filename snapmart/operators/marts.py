@@ -11,52 +11,31 @@ from snapmart import schemas
 from snapmart.operators.clean import scale_round
 
 
-def _type_like(*patterns: str, exact: str | None = None) -> Column:
-    cond = F.lit(True)
-    for pattern in patterns:
-        cond = cond & F.col("record_type").contains(pattern)
-    return cond | (F.col("record_type") == exact) if exact else cond
-
-
-def _top(cond: Column, measure: str = "value") -> Column:
-    return F.max(F.when(cond, F.col(measure)))
-
-
-def _totals() -> dict[str, Column]:
-    """Metrics shared by the mart and the view; the deficit is null if a side is missing."""
-    footprint = _top(_type_like("EFConsTot", exact="EFCtot"))
-    biocapacity = _top(_type_like("BiocapTot", exact="BioCaptot"))
-    return {
-        "total_ecological_footprint": footprint,
-        "carbon_footprint": _top(_type_like("Carbon", exact="EFCcarb"), "carbon"),
-        "total_biocapacity": biocapacity,
-        "ecological_deficit": footprint - biocapacity,
-        "carbon_percentage": F.max("carbon_pct_of_total"),
-    }
-
-
-def _metrics() -> dict[str, Column]:
-    """The 13 mart metrics. Per capita takes every type naming both EF and PerCap."""
-    return {
-        **_totals(),
-        "footprint_per_capita": _top(_type_like("PerCap", "EF")),
-        "carbon_per_capita": _top(_type_like("CarbonPerCap", exact="EFCcarbPerCap")),
-        "biocapacity_per_capita": _top(_type_like("BiocapPerCap", exact="BioCaptotPerCap")),
-        "cropland_footprint": F.max("crop_land"),
-        "grazing_footprint": F.max("grazing_land"),
-        "forest_footprint": F.max("forest_land"),
-        "fishing_footprint": F.max("fishing_ground"),
-        "builtup_footprint": F.max("builtup_land"),
-    }
+def _of_types(parts: Sequence[str], exact: str | None = None) -> Column:
+    """Whether the record type contains all the parts, case minded, or is the exact one."""
+    named = F.lit(True)
+    for part in parts:
+        named = named & F.col("record_type").contains(part)
+    return named | (F.col("record_type") == exact) if exact else named
+
+
+def _metric(name: str) -> Column:
+    """A mart metric as an aggregate; the deficit is null if either side is."""
+    if name == schemas.DEFICIT:
+        footprint, biocapacity = (_metric(n) for n in schemas.DEFICIT_OF)
+        return footprint - biocapacity
+    if name in schemas.COLUMN_METRICS:
+        return F.max(schemas.COLUMN_METRICS[name])
+    measure, parts, exact = schemas.TYPE_METRICS[name]
+    return F.max(F.when(_of_types(parts, exact), F.col(measure)))
 
 
 def mart_summary(staging: DataFrame) -> DataFrame:
     """One row per country and year, record types turned into columns."""
-    metrics = _metrics()
     return staging.groupBy(*schemas.MART_KEY).agg(
         F.max("country_name").alias("country_name"),
         F.max("iso_alpha2").alias("iso_alpha2"),
-        *[metrics[m].alias(m) for m in schemas.MART_METRICS],
+        *[_metric(m).alias(m) for m in schemas.MART_METRICS],
     )
 
 
@@ -75,14 +54,14 @@ def mart_summary_for(staging: DataFrame, touched: DataFrame) -> DataFrame:
 def summary_view(staging: DataFrame) -> DataFrame:
     """Totals per country, names and year, with the time of the last update."""
     return staging.groupBy("country_code", "country_name", "iso_alpha2", "year").agg(
-        *[col.alias(name) for name, col in _totals().items()],
+        *[_metric(m).alias(m) for m in schemas.VIEW_METRICS],
         F.max("_updated_at").alias("last_updated"),
     )
 
 
 def trends_view(staging: DataFrame) -> DataFrame:
     """Sums per country and year. Carbon is summed over all types, so parts count with totals."""
-    footprint = F.when(_type_like("EFConsTot"), F.col("value"))
+    footprint = F.when(_of_types(["EFConsTot"]), F.col("value"))
     return (
         staging.groupBy("country_name", "iso_alpha2", "year")
         .agg(

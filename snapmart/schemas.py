@@ -108,21 +108,36 @@ STAGING = _struct(
     },
 )
 
-MART_METRICS = [
-    "total_ecological_footprint",
-    "carbon_footprint",
-    "total_biocapacity",
-    "ecological_deficit",
-    "footprint_per_capita",
-    "carbon_per_capita",
-    "biocapacity_per_capita",
+# Mart metrics as the largest measure of the record types whose name contains all
+# the parts, or is the one given: metric -> (measure, parts, exact name).
+TYPE_METRICS = {
+    "total_ecological_footprint": ("value", ["EFConsTot"], "EFCtot"),
+    "carbon_footprint": ("carbon", ["Carbon"], "EFCcarb"),
+    "total_biocapacity": ("value", ["BiocapTot"], "BioCaptot"),
+    "footprint_per_capita": ("value", ["PerCap", "EF"], None),
+    "carbon_per_capita": ("value", ["CarbonPerCap"], "EFCcarbPerCap"),
+    "biocapacity_per_capita": ("value", ["BiocapPerCap"], "BioCaptotPerCap"),
+}
+
+# Mart metrics that are the largest value of a column over all types.
+COLUMN_METRICS = {
+    "carbon_percentage": "carbon_pct_of_total",
+    "cropland_footprint": "crop_land",
+    "grazing_footprint": "grazing_land",
+    "forest_footprint": "forest_land",
+    "fishing_footprint": "fishing_ground",
+    "builtup_footprint": "builtup_land",
+}
+
+# Footprint less biocapacity: positive is a deficit, negative a reserve.
+DEFICIT = "ecological_deficit"
+DEFICIT_OF = ("total_ecological_footprint", "total_biocapacity")
+
+MART_METRICS = [*TYPE_METRICS, DEFICIT, *COLUMN_METRICS]
+VIEW_METRICS = [
+    "total_ecological_footprint", "carbon_footprint", "total_biocapacity", DEFICIT,
     "carbon_percentage",
-    "cropland_footprint",
-    "grazing_footprint",
-    "forest_footprint",
-    "fishing_footprint",
-    "builtup_footprint",
-]
+]
 
 MART = _struct(
     {"country_code": LONG, "year": LONG},
