@@ -80,9 +80,6 @@ def suffix_order_repeats(content, core, left, starts, size: int) -> np.ndarray:
     rank = np.empty(len(order), dtype=np.int64)
     rank[order] = np.arange(len(order))
     least = _RangeMin(common.astype(np.int64))
-    # A context that ends is padded; its padding must not count as agreement.
-    tails = tail
-
     # Dictionary suffixes: the part of the phrase before the trigger, in order, equal ones alike.
     owner = np.repeat(np.arange(len(starts)), starts)
     step = np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
@@ -99,7 +96,8 @@ def suffix_order_repeats(content, core, left, starts, size: int) -> np.ndarray:
     near = (phrase[a] == phrase[b]) & (core_id[owner[a]] == core_id[owner[b]])
     ra, rb = rank[owner[a[near]]], rank[owner[b[near]]]
     shared = least(ra + 1, rb + 1) if len(ra) else np.zeros(0, dtype=np.int64)
-    shared = np.minimum(shared, np.minimum(tails[owner[a[near]]], tails[owner[b[near]]]))
+    # A context that ends is padded; its padding must not count as agreement.
+    shared = np.minimum(shared, np.minimum(tail[owner[a[near]]], tail[owner[b[near]]]))
     agree = ahead[a[near]] + shared >= size
     repeated = np.zeros(len(owner), dtype=bool)
     repeated[a[near][agree]] = True
@@ -144,8 +142,9 @@ def _cut(length: int):
 
 
 def remove_repeated_bytes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
-) -> DataFrame:
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+    crowd: int = 256,
+) -> DataFrame:
     """One row per document without every byte that a repeated ``length``-byte string covers.
 
     Returns the id, n_bytes, n_removed, n_spans, kept_sha256, spans (byte ranges removed) and kept
@@ -155,7 +154,7 @@ def remove_repeated_bytes(
     empty table gives an empty result.
     """
     rows = keyed(docs, id_col, text_col)
-    spans = repeated_bytes(rows.select("k1", "k2", "text"), length)
+    spans = repeated_bytes(rows.select("k1", "k2", "text"), length, crowd=crowd)
     id_type = docs.schema[id_col].dataType.simpleString()
     out = with_ranges(rows, spans).mapInArrow(
         _cut(length),
