@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmart.llm.fm_dedup import op6_fm_index_dedup
+from snapmart.llm.simhash_dedup import op4_simhash_deletion_variants
 from snapmart.llm.suffix_dedup import op1_suffix_array_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op4_simhash_deletion_variants": op4_simhash_deletion_variants,
     "op6_fm_index_dedup": op6_fm_index_dedup,
 }
 
