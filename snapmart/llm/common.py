@@ -29,7 +29,7 @@ def row_key(*columns: Column) -> tuple[Column, Column]:
     return F.xxhash64(mark, *columns), F.xxhash64(F.lit("second"), mark, *columns)
 
 
-def slabs(texts: list[bytes], most: int = 2_000_000):
+def slabs(texts: list[bytes], most: int = 300_000):
     """(from, to) of runs of texts of about ``most`` bytes; a longer text is a run of its own."""
     start = held = 0
     for i, t in enumerate(texts):

@@ -208,7 +208,7 @@ def _resolved(resolve, kind, unit: Unit, block: int):
 
 
 def repeated_windows(
-    docs: DataFrame, unit: Unit, resolve, crowd: int = 256, block: int = 2_000_000
+    docs: DataFrame, unit: Unit, resolve, crowd: int = 256, block: int = 500_000
 ) -> DataFrame:
     """Ranges of window starts (first .. last, in tokens) that repeat, by row key.
 
@@ -219,6 +219,7 @@ def repeated_windows(
     found = docs.mapInArrow(
         _stretch_rows(unit), SPAN + ", anchor int, core long, whole long"
     )
+    found = stored(found, "stretches")
     cores = found.groupBy("core").count().where("count > 1").select("core")
     shared = stored(found.join(cores, "core", "left_semi"), "shared-cores")
 

@@ -32,10 +32,10 @@ REACH = 200
 def _strings(data: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Slices as fixed-width byte strings, padded with the value 0 that no token has."""
     width = int(lengths.max(initial=0)) or 1
-    cols = np.arange(width)
-    inside = cols < lengths[:, None]
-    grid = np.where(inside, data[np.minimum(at[:, None] + cols, max(len(data) - 1, 0))], 0)
-    return grid.astype(np.uint8)
+    padded = np.concatenate([data, np.zeros(width, dtype=np.uint8)])
+    grid = np.lib.stride_tricks.sliding_window_view(padded, width)[at]
+    grid[np.arange(width) >= lengths[:, None]] = 0
+    return grid
 
 
 def _order(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
