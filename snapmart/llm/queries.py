@@ -7,14 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmart.llm.fm_dedup import op6_fm_index_dedup
+from snapmart.llm.mixing import OP3_SQL, op3_source_mixing
+from snapmart.llm.quality import OP2_SQL, op2_quality_cascade
 from snapmart.llm.simhash_dedup import op4_simhash_deletion_variants
 from snapmart.llm.suffix_dedup import op1_suffix_array_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
+    "op2_quality_cascade": op2_quality_cascade,
+    "op3_source_mixing": op3_source_mixing,
     "op4_simhash_deletion_variants": op4_simhash_deletion_variants,
     "op6_fm_index_dedup": op6_fm_index_dedup,
 }
 
 #: Equivalent SQL for DuckDB, where SQL can express a query in reasonable time.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_quality_cascade": OP2_SQL,
+    "op3_source_mixing": OP3_SQL,
+}
