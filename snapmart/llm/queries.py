@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from snapmart.llm.fm_dedup import op6_fm_index_dedup
 from snapmart.llm.mixing import OP3_SQL, op3_source_mixing
 from snapmart.llm.quality import OP2_SQL, op2_quality_cascade
+from snapmart.llm.sharding import op5_hypergeometric_sharding
 from snapmart.llm.simhash_dedup import op4_simhash_deletion_variants
 from snapmart.llm.suffix_dedup import op1_suffix_array_dedup
 
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_cascade": op2_quality_cascade,
     "op3_source_mixing": op3_source_mixing,
     "op4_simhash_deletion_variants": op4_simhash_deletion_variants,
+    "op5_hypergeometric_sharding": op5_hypergeometric_sharding,
     "op6_fm_index_dedup": op6_fm_index_dedup,
 }
 
