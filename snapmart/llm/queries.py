@@ -12,6 +12,7 @@ from snapmart.llm.quality import OP2_SQL, op2_quality_cascade
 from snapmart.llm.sharding import op5_hypergeometric_sharding
 from snapmart.llm.simhash_dedup import op4_simhash_deletion_variants
 from snapmart.llm.suffix_dedup import op1_suffix_array_dedup
+from snapmart.llm.topk_search import OP8_SQL, op8_maxscore_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -20,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_deletion_variants": op4_simhash_deletion_variants,
     "op5_hypergeometric_sharding": op5_hypergeometric_sharding,
     "op6_fm_index_dedup": op6_fm_index_dedup,
+    "op8_maxscore_search": op8_maxscore_search,
 }
 
 #: Equivalent SQL for DuckDB, where SQL can express a query in reasonable time.
 SQL: dict[str, str] = {
     "op2_quality_cascade": OP2_SQL,
     "op3_source_mixing": OP3_SQL,
+    "op8_maxscore_search": OP8_SQL,
 }
