@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from snapmart.llm.fm_dedup import op6_fm_index_dedup
 from snapmart.llm.mixing import OP3_SQL, op3_source_mixing
 from snapmart.llm.packing import op9_sum_of_squares_packing
+from snapmart.llm.pii import op10_skip_chain_crf
 from snapmart.llm.quality import OP2_SQL, op2_quality_cascade
 from snapmart.llm.sharding import op5_hypergeometric_sharding
 from snapmart.llm.simhash_dedup import op4_simhash_deletion_variants
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fm_index_dedup": op6_fm_index_dedup,
     "op8_maxscore_search": op8_maxscore_search,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
+    "op10_skip_chain_crf": op10_skip_chain_crf,
 }
 
 #: Equivalent SQL for DuckDB, where SQL can express a query in reasonable time.
