@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapmart.llm.chat import op7_transcript_hmm
 from snapmart.llm.fm_dedup import op6_fm_index_dedup
 from snapmart.llm.mixing import OP3_SQL, op3_source_mixing
 from snapmart.llm.packing import op9_sum_of_squares_packing
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash_deletion_variants": op4_simhash_deletion_variants,
     "op5_hypergeometric_sharding": op5_hypergeometric_sharding,
     "op6_fm_index_dedup": op6_fm_index_dedup,
+    "op7_transcript_hmm": op7_transcript_hmm,
     "op8_maxscore_search": op8_maxscore_search,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_skip_chain_crf": op10_skip_chain_crf,
