@@ -12,7 +12,7 @@ from snapmart.operators import dedupe
 from snapmart.operators import merge as M
 from snapmart.operators.marts import mart_summary
 from snapmart.session import scratch_path
-from snapmart.tables import backfill
+from snapmart.tables import backfill, store
 
 KEY = "country_code, year, record_type"
 CHANGED = ["country_name", "iso_alpha2", "carbon", "value", "score", "transformed_at"]
@@ -108,11 +108,14 @@ def merge_newer_wins(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("merge_newer_wins_small_source", sql(merge_sql(NEWER), "morning", "afternoon"))
 def merge_newer_wins_small_source(spark: SparkSession, sf: str) -> DataFrame:
-    """The way taken for a source that has been counted and found small."""
-    from snapmart.tables.store import is_small
-
-    target, source = (I.stored(spark, rows, "load") for rows in _loads(spark, sf))
-    merged = M.merge_newer_wins(target, source, as_of=I.as_of(), small_source=is_small(source))
+    """The way taken for a source that has been counted, measured and found small."""
+    target, source = _loads(spark, sf)
+    table = store.fact_table(scratch_path(spark, "merged"))
+    store.load_replace(target, table)
+    staged = store.stage(source, table)
+    merged = M.merge_newer_wins(
+        store.read_table(spark, table), staged.rows, as_of=I.as_of(), small_source=staged.small
+    )
     return merged.select(*OUTPUT)
 
 

@@ -1,7 +1,8 @@
 """Upserts as joins; writing the result is the business of ``tables``.
 
-Keys must be unique on both sides (dedupe the source first), so no key can be hot in the join.
-A row without a key fails the job when it is reached.
+Keys must be unique on both sides (dedupe the source first; ``tables.store`` does), so no key can be
+hot in the join. A row without a key fails the job when it is reached, and so does a source value
+that the target's type does not hold.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.operators.dedupe import dedupe_latest
@@ -28,6 +30,31 @@ def _source(name: str) -> Column:
     return F.col(f"s.{name}")
 
 
+def _fits(name: str, have: T.DataType, want: T.DataType) -> Column:
+    """The column in the wanted type; a value that changes on the way fails the job."""
+    col = F.col(name)
+    cast = col.cast(want)
+    exact = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if not isinstance(have, exact) or not isinstance(want, exact):
+        return cast.alias(name)
+    lost = F.raise_error(F.concat(F.lit(f"{name} does not hold "), col.cast("string")))
+    same = cast.cast(have).eqNullSafe(col)
+    return F.when(same, cast).otherwise(lost.cast(want)).alias(name)
+
+
+def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the columns of the schema in its types; other columns stay as they are."""
+    kinds = {f.name: f.dataType for f in schema}
+    return df.select(
+        *[
+            _fits(f.name, f.dataType, kinds[f.name])
+            if f.name in kinds and f.dataType != kinds[f.name]
+            else F.col(f.name)
+            for f in df.schema
+        ]
+    )
+
+
 def newer(ts: str = "transformed_at") -> Matched:
     """Source strictly newer, or target never stamped; equal times do not update."""
     return lambda t, s: (s(ts) > t(ts)) | t(ts).isNull()
@@ -52,13 +79,15 @@ def merge(
     Target rows then stay in the partitions they were read in.
     """
     on, columns = list(key), target.columns
+    source = conformed(source, target.schema)
     given, kinds = set(source.columns), {f.name: f.dataType for f in target.schema}
     no_key = F.raise_error(F.lit("merge key is null"))
     replaced = {c for c in columns if c not in on} if update is None else set(update)
 
     def pick(name: str) -> Column:
         if stamp and name == stamp[0]:
-            return F.when(F.col(ACTION) == KEEP, _target(name)).otherwise(stamp[1]).alias(name)
+            fresh = stamp[1].cast(kinds[name])
+            return F.when(F.col(ACTION) == KEEP, _target(name)).otherwise(fresh).alias(name)
         src = _source(name) if name in given else F.lit(None)
         if name in on:
             return F.coalesce(_target(name), _source(name), no_key).alias(name)
@@ -91,7 +120,7 @@ def merge(
 
     def new_value(name: str) -> Column:
         if stamp and name == stamp[0]:
-            return stamp[1].alias(name)
+            return stamp[1].cast(kinds[name]).alias(name)
         col = F.col(name) if name in given else F.lit(None)
         col = F.coalesce(col, no_key) if name in on else col
         return col.cast(kinds[name]).alias(name)
@@ -163,7 +192,8 @@ def merge_reference(target: DataFrame, rows: Sequence[tuple] | None = None) -> D
     spark = target.sparkSession
     names = ["record_type", "description", "category", "is_per_capita", "unit"]
     fixed = spark.createDataFrame(list(rows or schemas.RECORD_TYPE_ROWS), schemas.RECORD_TYPES)
-    return merge(target, fixed, ["record_type"], update=names[1:], small_source=True)
+    # Only the fixed rows are known to be few.
+    return merge(target, fixed, ["record_type"], update=names[1:], small_source=rows is None)
 
 
 def merge_insert_events(

@@ -142,31 +142,32 @@ def merge_batch(
     """
     spark = batch.sparkSession
     now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else as_of
-    rows = dedupe_latest(batch.dropna(subset=schemas.FACT_KEY)).persist()
+    rows = dedupe_latest(batch.dropna(subset=schemas.FACT_KEY))
+    # The batch is written once; what follows reads the stored rows.
+    staged = store.stage(rows, layers.staging, ["transformed_at", "_loaded_at"])
     try:
-        if rows.isEmpty():
+        if not staged.count:
             return {}
         done = {
-            "staging": store.apply_merge(
-                spark, layers.staging, rows, M.merge_newer_wins, as_of=now,
-                small_source=store.is_small(rows),
+            "staging": store.merge_staged(
+                spark, layers.staging, staged, M.merge_newer_wins, as_of=now
             )
         }
         if layers.mart is not None:
-            done["mart"] = refresh_mart(spark, layers, rows, now)
+            done["mart"] = refresh_mart(spark, layers, staged, now)
         return done
     finally:
-        rows.unpersist()
+        store.delete_folder(spark, staged.path)
 
 
 def refresh_mart(
-    spark: SparkSession, layers: Layers, touched: DataFrame, as_of: Column
+    spark: SparkSession, layers: Layers, staged: store.Staged, as_of: Column
 ) -> dict[str, int]:
     """Mart rows of the touched (country, year) keys from all their staging rows."""
-    keys = touched.select(*schemas.MART_KEY).distinct()
-    staging = store.touched_partitions(store.read_table(spark, layers.staging), keys, "year")
+    keys = staged.rows.select(*schemas.MART_KEY).distinct()
+    staging = store.read_table(spark, layers.staging, partitions=staged.partitions)
     summary = mart_summary_for(staging, keys).withColumn("_updated_at", as_of)
-    return store.apply_merge(spark, layers.mart, summary, M.merge_mart, touched=keys, as_of=as_of)
+    return store.apply_merge(spark, layers.mart, summary, M.merge_mart, as_of=as_of)
 
 
 def stream_merge(

@@ -102,6 +102,17 @@ def log_runs(spark: SparkSession, path: str, rows: list[tuple]) -> None:
         _append(spark, path, rows, schemas.RUN_LOG)
 
 
+def log_rows_of(df: DataFrame, path: str, at: datetime) -> None:
+    """Append a frame as run log rows at ``at``; columns it lacks are null."""
+    have = set(df.columns)
+    kinds = {f.name: f.dataType for f in schemas.RUN_LOG}
+    stamped = {
+        n: F.lit(at) if n == schemas.RUN_LOG.names[0] else F.col(n) if n in have else F.lit(None)
+        for n in kinds
+    }
+    df.select(*[c.cast(kinds[n]).alias(n) for n, c in stamped.items()]).write.mode("append").parquet(path)
+
+
 def log_run(spark: SparkSession, path: str, *stage, **facts) -> None:
     """Append one stage, given as for ``log_row``."""
     log_runs(spark, path, [log_row(*stage, **facts)])

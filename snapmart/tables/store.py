@@ -1,14 +1,20 @@
-"""Tables as Parquet folders: append, replace, merge.
+"""Tables as Parquet folders under a manifest: append, replace, merge.
 
-Partitioned tables are merged by rewriting only the partitions the source touches, with dynamic
-partition overwrite: Spark swaps the folders in when every task has succeeded, so a lost
-executor only means some tasks run again against unchanged input. Unpartitioned tables are
-written as a new ``v=`` folder; a reader takes the highest one whose write was committed.
-One writer per table is assumed.
+Every write goes to a folder of its own, ``g=<number>-<id>``, with the table's partition folders
+below it. Then a manifest is written that names the folders which make up the table; readers follow
+the newest complete one. A write that stops at any point, on an executor or on the driver, leaves
+the old table whole, and nothing a reader may hold is moved or deleted before ``expire_versions``.
+
+Partitions are told apart by the folder names that Spark itself chose, never by values turned into
+text here. Merges rewrite the partitions the source touches: the source is written once, partitioned
+like the table, and its folders say which ones these are.
+
+One writer per table is assumed; two that commit at once make the later one fail.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -18,17 +24,25 @@ from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.operators import merge as M
+from snapmart.operators.dedupe import dedupe_latest
 from snapmart.tables.layout import literal, rebalanced
 
-MAX_PARTITION_VALUES = 5_000
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+#: A source within both is broadcast in a merge, on its rows counted and its files measured. Both
+#: ways give the same rows.
 SMALL_SOURCE_ROWS = 200_000
-SMALL_SOURCE_BYTES = 64 * 1024 * 1024
+SMALL_SOURCE_BYTES = 16 * 1024 * 1024
+MANIFESTS = "_manifest"
+STAGE = "_stage"
+END_LINE = "end"
 
 
 @dataclass(frozen=True)
 class Table:
-    """Where a table lives and how it is keyed and laid out."""
+    """Where a table lives and how it is keyed and laid out.
+
+    The partition column belongs to the key: a row that moved to another partition could not be
+    found by its key otherwise.
+    """
 
     path: str
     schema: T.StructType
@@ -36,6 +50,10 @@ class Table:
     partition_by: str | None = None
     sort_by: Sequence[str] = field(default_factory=tuple)
 
+    def __post_init__(self):
+        if self.partition_by is not None and self.partition_by not in self.key:
+            raise ValueError(f"the key must hold the partition column {self.partition_by}")
+
 
 def fact_table(path: str, schema: T.StructType = schemas.STAGING) -> Table:
     return Table(path, schema, schemas.FACT_KEY, "year", ["country_code", "record_type"])
@@ -45,6 +63,9 @@ def mart_table(path: str) -> Table:
     return Table(path, schemas.MART, schemas.MART_KEY, "year", ["country_code"])
 
 
+# Files and manifests. -------------------------------------------------------------------------
+
+
 def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     handle = jvm.org.apache.hadoop.fs.Path(path)
@@ -62,56 +83,127 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return fs.delete(handle, True)
 
 
-def _committed(spark: SparkSession, path: str) -> list[str]:
-    return [p[: -len("/_SUCCESS")] for p in list_folders(spark, f"{path}/v=*/_SUCCESS")]
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, handle = _folder(spark, path)
+    if not fs.exists(handle):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(handle))
+
+
+def _text(spark: SparkSession, path: str) -> str:
+    fs, handle = _folder(spark, path)
+    stream = fs.open(handle)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def manifests(spark: SparkSession, table: Table) -> list[tuple[int, list[str]]]:
+    """Number and folders of every complete manifest, newest first, read as far as asked for."""
+    for name in sorted(_children(spark, f"{table.path}/{MANIFESTS}"), reverse=True):
+        lines = _text(spark, f"{table.path}/{MANIFESTS}/{name}").split("\n")
+        if lines and lines[-1] == f"{END_LINE} {len(lines) - 1}":
+            yield int(name), lines[:-1]
+
+
+def _current(spark: SparkSession, table: Table) -> list[str]:
+    return next((folders for _, folders in manifests(spark, table)), [])
+
+
+def _commit(spark: SparkSession, table: Table, folders: Sequence[str]) -> None:
+    """Make ``folders`` the table. Creating the file fails if another writer was first."""
+    taken = [int(n) for n in _children(spark, f"{table.path}/{MANIFESTS}")]
+    fs, handle = _folder(spark, f"{table.path}/{MANIFESTS}/{max(taken, default=0) + 1:08d}")
+    stream = fs.create(handle, False)
+    stream.write("\n".join([*folders, f"{END_LINE} {len(folders)}"]).encode())
+    stream.close()
+
+
+def expire_versions(spark: SparkSession, table: Table, keep: int = 2) -> list[str]:
+    """Delete the folders that none of the ``keep`` newest versions uses, and older manifests."""
+    versions = list(manifests(spark, table))
+    if not versions:
+        return []
+    used = {f.split("/")[0] for _, folders in versions[:keep] for f in folders}
+    old = [n for n in _children(spark, table.path) if n.startswith("g=") and n not in used]
+    for number, _ in versions[keep:]:
+        delete_folder(spark, f"{table.path}/{MANIFESTS}/{number:08d}")
+    return [n for n in old if delete_folder(spark, f"{table.path}/{n}")]
+
+
+# Reading and writing. -------------------------------------------------------------------------
 
 
 def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The columns of a schema, cast; those ``df`` lacks are null."""
+    """The columns of a schema, cast; those ``df`` lacks are null.
+
+    A value that the type of the schema does not hold fails the job when it is reached.
+    """
     present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
+    return M.conformed(
+        df.select(
+            *[
+                F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in schema
+            ]
+        ),
+        schema,
     )
 
 
-def read_table(spark: SparkSession, table: Table, evolved: bool = False) -> DataFrame:
-    """The table as stored, or an empty frame of its schema.
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
-    ``evolved`` also returns columns added by later loads, at the cost of reading footers.
-    """
-    if table.partition_by is None:
-        versions = _committed(spark, table.path)
-        paths = versions[-1:]
-    else:
-        paths = [table.path] if list_folders(spark, f"{table.path}/{table.partition_by}=*") else []
-    if not paths:
-        return spark.createDataFrame([], T.StructType([*_nullable(table.schema)]))
+
+def _read(spark: SparkSession, table: Table, folders: Sequence[str], evolved: bool) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], _nullable(table.schema))
+    paths = [f"{table.path}/{f}" for f in folders]
+    names = [f.name for f in table.schema]
     if not evolved:
-        return spark.read.schema(table.schema).parquet(*paths)
-    rows = spark.read.option("mergeSchema", True).parquet(*paths)
+        reader = spark.read.schema(_nullable(table.schema)).option("basePath", table.path)
+        return reader.parquet(*paths).select(*names)
+    reader = spark.read.option("basePath", table.path).option("mergeSchema", True)
+    found = {f.name: f.dataType for f in reader.parquet(*paths).schema if f.name != "g"}
+    # Read by schema, so that folder names are not taken for numbers where they are text.
     kinds = {f.name: f.dataType for f in table.schema}
-    return rows.select(*[F.col(c).cast(kinds[c]) if c in kinds else F.col(c) for c in rows.columns])
+    schema = T.StructType([T.StructField(n, k) for n, k in {**kinds, **found, **kinds}.items()])
+    rows = spark.read.schema(schema).option("basePath", table.path).parquet(*paths)
+    return rows.select(*schema.names)
 
 
-def _nullable(schema: T.StructType) -> list[T.StructField]:
-    return [T.StructField(f.name, f.dataType, True) for f in schema]
+def read_table(
+    spark: SparkSession, table: Table, evolved: bool = False,
+    partitions: Sequence[str] | None = None,
+) -> DataFrame:
+    """The table as stored, or an empty frame of its schema.
 
+    ``evolved`` also returns columns added by later loads, at the cost of reading footers.
+    ``partitions`` names the partition folders to read; no other is listed.
+    """
+    folders = _current(spark, table)
+    if partitions is not None and table.partition_by is not None:
+        wanted = set(partitions)
+        folders = [f for f in folders if f.split("/")[-1] in wanted]
+    return _read(spark, table, folders, evolved)
 
-def _save(df: DataFrame, table: Table, mode: str) -> None:
+
+def _write(df: DataFrame, table: Table, below: str) -> list[str]:
+    """Write below the table's path; returns the folders that hold rows, as Spark named them."""
+    writer = df.write.mode("errorifexists")
     if table.partition_by is None:
-        versions = _committed(df.sparkSession, table.path)
-        number = int(versions[-1].rsplit("v=", 1)[1]) + 1 if versions else 1
-        df.write.mode("overwrite").parquet(f"{table.path}/v={number:08d}")
-        return
-    (
-        df.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
-        .partitionBy(table.partition_by)
-        .parquet(table.path)
-    )
+        writer.parquet(f"{table.path}/{below}")
+        return [below]
+    writer.partitionBy(table.partition_by).parquet(f"{table.path}/{below}")
+    found = _children(df.sparkSession, f"{table.path}/{below}")
+    return [f"{below}/{n}" for n in found if n.startswith(f"{table.partition_by}=")]
+
+
+def _generation(spark: SparkSession, table: Table) -> str:
+    taken = [int(n) for n in _children(spark, f"{table.path}/{MANIFESTS}")]
+    return f"g={max(taken, default=0) + 1:08d}-{uuid.uuid4().hex[:8]}"
 
 
 def _spread(df: DataFrame, table: Table) -> DataFrame:
@@ -124,87 +216,78 @@ def _sorted(df: DataFrame, table: Table) -> DataFrame:
 
 def load_append(df: DataFrame, table: Table, loaded_at) -> None:
     """Add rows to a landing table, stamped with the load time."""
+    spark = df.sparkSession
     rows = df.withColumn("_loaded_at", literal(loaded_at))
-    _save(_spread(rows, table), table, "append")
+    added = _write(_spread(rows, table), table, _generation(spark, table))
+    _commit(spark, table, [*_current(spark, table), *added])
 
 
 def load_replace(df: DataFrame, table: Table) -> None:
-    """Put ``df`` in place of the whole table.
-
-    New partitions are swapped in first, then folders ``df`` has no rows for are removed, so
-    the old rows stay readable until the new ones are complete. The write itself reports which
-    folders it filled.
-    """
-    if table.partition_by is None:
-        _save(_spread(df, table), table, "overwrite")
-        return
-    spark, column, seen = df.sparkSession, table.partition_by, Observation()
-    name = F.coalesce(F.col(column).cast("string"), F.lit(NULL_FOLDER))
-    _save(_spread(df, table).observe(seen, F.collect_set(name).alias("names")), table, "overwrite")
-    written = {f"{column}={n}" for n in seen.get.get("names") or folder_names(df, name)}
-    for folder in list_folders(spark, f"{table.path}/{column}=*"):
-        if folder.rsplit("/", 1)[1] not in written:
-            delete_folder(spark, folder)
+    """Put ``df`` in place of the whole table; the old rows stay readable until the commit."""
+    spark = df.sparkSession
+    _commit(spark, table, _write(_spread(df, table), table, _generation(spark, table)))
 
 
-def folder_names(df: DataFrame, name: Column) -> list[str]:
-    """Names of the partitions of a frame whose write reported none."""
-    return [r[0] for r in df.select(name).distinct().collect()]
-
-
-def partition_values(df: DataFrame, column: str) -> list | None:
-    """Distinct partition values, or None when there are too many to list."""
-    found = df.select(column).distinct().limit(MAX_PARTITION_VALUES + 1).collect()
-    return [r[0] for r in found] if len(found) <= MAX_PARTITION_VALUES else None
+@dataclass(frozen=True)
+class Staged:
+    """A merge source, written once: its rows, the partitions they lie in, and its size."""
 
+    rows: DataFrame
+    path: str
+    partitions: list[str] | None
+    count: int
+    file_bytes: int
 
-def touched_partitions(target: DataFrame, source: DataFrame, column: str) -> DataFrame:
-    """Target rows of the partitions the source has rows for."""
-    values = partition_values(source, column)
-    if values is None:
-        return target.join(source.select(column).distinct(), column, "left_semi")
-    return target.filter(F.col(column).isin(values))
+    @property
+    def small(self) -> bool:
+        return self.count <= SMALL_SOURCE_ROWS and self.file_bytes <= SMALL_SOURCE_BYTES
 
 
-def is_small(
-    df: DataFrame, rows: int = SMALL_SOURCE_ROWS, text_bytes: int = SMALL_SOURCE_BYTES
-) -> bool:
-    """Whether a frame is bounded both in rows and in bytes of text.
+def stage(df: DataFrame, table: Table, order: Sequence[str] = (), conform: bool = True) -> Staged:
+    """Write a source partitioned like the table, one row per key.
 
-    The rows are counted first, which moves one number per task; text is measured only where
-    the rows are few. Meant for stored or persisted frames.
+    Of repeated keys the row that is last by ``order`` stays; ``order`` empty means the order of
+    the input, in which the later row wins.
     """
-    if df.count() > rows:
-        return False
-    texts = [n for n, kind in df.dtypes if kind in ("string", "binary")]
-    if not texts:
-        return True
-    sizes = [F.coalesce(F.sum(F.octet_length(n).cast("bigint")), F.lit(0)) for n in texts]
-    return sum(df.agg(*[s.alias(n) for s, n in zip(sizes, texts)]).first()) <= text_bytes
-
-
-def apply_merge(
-    spark: SparkSession,
-    table: Table,
-    source: DataFrame,
-    how: Callable[..., DataFrame],
-    touched: DataFrame | None = None,
-    **options,
-) -> dict[str, int]:
-    """Merge ``source`` into the table with a merge operator and return the row counts.
-
-    ``touched`` tells the partitions of a source that is costly to compute twice.
-    The counts come from the write itself, taken in its last stage. A small source leaves the
-    target rows in the partitions they were read in, one or few files of one year each, so they
-    are sorted and written back without any shuffle.
+    spark = df.sparkSession
+    kinds = {f.name: f for f in table.schema}
+    known = T.StructType([kinds[c] for c in df.columns if c in kinds])
+    rows = M.conformed(df, known) if conform else df
+    if order:
+        rows = dedupe_latest(rows, table.key, order)
+    else:
+        rows = rows.withColumn("_place", F.monotonically_increasing_id())
+        rows = dedupe_latest(rows, table.key, ["_place"]).drop("_place")
+    below, seen = f"{STAGE}/{uuid.uuid4().hex}", Observation()
+    schema = _nullable(rows.schema)
+    folders = _write(rows.observe(seen, F.count("*").alias("rows")), table, below)
+    path = f"{table.path}/{below}"
+    fs, handle = _folder(spark, path)
+    stored = spark.read.schema(schema).parquet(path) if folders else spark.createDataFrame([], schema)
+    return Staged(
+        stored.select(*schema.names), path,
+        [f.split("/")[-1] for f in folders] if table.partition_by else None,
+        seen.get.get("rows", 0), fs.getContentSummary(handle).getLength(),
+    )
+
+
+def merge_staged(
+    spark: SparkSession, table: Table, staged: Staged, how: Callable[..., DataFrame],
+    evolve: bool = False, **options,
+) -> dict[str, int]:
+    """Merge a staged source into the table and return the row counts, taken from the write.
+
+    A small source leaves the target rows in the partitions they were read in, so they are sorted
+    and written back without a shuffle. With ``evolve`` the table keeps columns it was never
+    declared with: those of earlier loads and the new ones of this source.
     """
-    target = read_table(spark, table)
-    if table.partition_by is not None:
-        known = source if touched is None else touched
-        target = touched_partitions(target, known, table.partition_by)
-    merged = how(target, source, **options)
+    target = read_table(spark, table, evolve, staged.partitions)
+    if evolve:
+        new = {f.name: f.dataType for f in staged.rows.schema if f.name not in target.columns}
+        target = target.withColumns({n: F.lit(None).cast(k) for n, k in new.items()})
+    merged = how(target, staged.rows, small_source=staged.small, **options)
     counts = Observation()
-    in_place = options.get("small_source") and table.partition_by is not None
+    in_place = staged.small and table.partition_by is not None
     spread = _sorted(merged, table) if in_place else _spread(merged, table)
     rows = spread.observe(
         counts,
@@ -213,17 +296,39 @@ def apply_merge(
             for action, name in ((M.INSERT, "inserted"), (M.UPDATE, "updated"), (M.KEEP, "unchanged"))
         ],
     )
-    _save(rows.drop(M.ACTION), table, "overwrite")
+    written = _write(rows.drop(M.ACTION), table, _generation(spark, table))
+    kept: list[str] = []
+    if table.partition_by is not None:
+        touched = set(staged.partitions)
+        kept = [f for f in _current(spark, table) if f.split("/")[-1] not in touched]
+    _commit(spark, table, [*kept, *written])
     return {"inserted": 0, "updated": 0, "unchanged": 0, **counts.get}
 
 
-def load_merge(
-    df: DataFrame, table: Table, as_of: Column | None = None, small: bool | None = None
+def apply_merge(
+    spark: SparkSession,
+    table: Table,
+    source: DataFrame,
+    how: Callable[..., DataFrame],
+    order: Sequence[str] = (),
+    evolve: bool = False,
+    **options,
 ) -> dict[str, int]:
-    """Upsert by the table's key, rows replaced whole. The source is measured, not assumed small."""
+    """Merge ``source``, one row per key by ``order``, into the table with a merge operator."""
+    staged = stage(source, table, order)
+    try:
+        return merge_staged(spark, table, staged, how, evolve, **options)
+    finally:
+        delete_folder(spark, staged.path)
+
+
+def load_merge(
+    df: DataFrame, table: Table, as_of: Column | None = None, order: Sequence[str] = (),
+    evolve: bool = False,
+) -> dict[str, int]:
+    """Upsert by the table's key, rows replaced whole; of repeated source keys the later wins."""
     return apply_merge(
-        df.sparkSession, table, df, M.merge_upsert,
-        key=table.key, as_of=as_of, small_source=is_small(df) if small is None else small,
+        df.sparkSession, table, df, M.merge_upsert, order, evolve, key=table.key, as_of=as_of
     )
 
 
@@ -243,18 +348,11 @@ def insert_or_replace(df: DataFrame, path: str) -> dict[str, int]:
 def multi_target(
     df: DataFrame, targets: Mapping[str, Callable[[DataFrame], object]]
 ) -> list[dict[str, object]]:
-    """Hand one prepared set to several loaders; a failing one does not stop the others."""
-    shared = len(targets) > 1
-    if shared:
-        df.persist()
+    """Hand one stored set to several loaders; a failing one does not stop the others."""
     results = []
-    try:
-        for name, load in targets.items():
-            try:
-                results.append({"target": name, "status": "success", "result": load(df)})
-            except Exception as error:  # the status of each target is the result
-                results.append({"target": name, "status": "failed", "result": str(error)})
-    finally:
-        if shared:
-            df.unpersist()
+    for name, load in targets.items():
+        try:
+            results.append({"target": name, "status": "success", "result": load(df)})
+        except Exception as error:  # the status of each target is the result
+            results.append({"target": name, "status": "failed", "result": str(error)})
     return results

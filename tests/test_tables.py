@@ -27,21 +27,23 @@ def frame(spark, *data):
 def test_merge_touches_only_the_years_of_the_source(spark, path):
     t = table(path)
     store.load_replace(frame(spark, (1, 2020, 1.0), (2, 2020, 2.0), (1, 2021, 3.0)), t)
-    before = set(glob.glob(f"{path}/t/year=2021/*.parquet"))
     counts = store.load_merge(frame(spark, (1, 2020, 9.0), (5, 2022, 5.0)), t)
     assert counts == {"inserted": 1, "updated": 1, "unchanged": 1}
-    assert set(glob.glob(f"{path}/t/year=2021/*.parquet")) == before
+    assert len(glob.glob(f"{path}/t/g=*/year=2020")) == 2
+    assert len(glob.glob(f"{path}/t/g=*/year=2021")) == 1
     assert rows(store.read_table(spark, t), "id", "year", "value") == [
         (1, 2020, 9.0), (1, 2021, 3.0), (2, 2020, 2.0), (5, 2022, 5.0),
     ]
 
 
 @pytest.mark.parametrize("small", [True, False])
-def test_merging_twice_equals_once(spark, path, small):
+def test_merging_twice_equals_once(spark, path, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr(store, "SMALL_SOURCE_ROWS", -1)
     t = table(path)
-    store.load_merge(frame(spark, (1, 2020, 1.0)), t, small=small)
+    store.load_merge(frame(spark, (1, 2020, 1.0)), t)
     for _ in range(2):
-        counts = store.load_merge(frame(spark, (1, 2020, 2.0), (2, 2020, 3.0)), t, small=small)
+        counts = store.load_merge(frame(spark, (1, 2020, 2.0), (2, 2020, 3.0)), t)
     assert counts == {"inserted": 0, "updated": 2, "unchanged": 0}
     assert rows(store.read_table(spark, t), "id", "value") == [(1, 2.0), (2, 3.0)]
 
@@ -52,8 +54,102 @@ def test_unpartitioned_tables_keep_versions(spark, path):
     store.load_replace(frame(spark, (1, 2020, 1.0)), t)
     store.load_merge(frame(spark, (1, 2020, 2.0), (2, 2020, 3.0)), t)
     assert rows(store.read_table(spark, t), "id", "value") == [(1, 2.0), (2, 3.0)]
-    os.makedirs(f"{path}/t/v=00000009")  # a write that was never committed
+    os.makedirs(f"{path}/t/g=00000009-x")  # a write that was never committed
     assert store.read_table(spark, t).count() == 2
+    store.expire_versions(spark, t, keep=1)
+    assert len(glob.glob(f"{path}/t/g=*")) == 1 and store.read_table(spark, t).count() == 2
+
+
+KEYED_BY_TEXT = schemas.T.StructType().add("id", "long").add("part", "string")
+
+
+def test_replace_keeps_every_partition_whatever_its_name(spark, path):
+    names = ["x", "a/b", "c:d", "", None, "é %", "=", "[1]", "01"]
+    t = store.Table(f"{path}/t", KEYED_BY_TEXT, ["id", "part"], "part")
+    df = spark.createDataFrame(list(enumerate(names)), KEYED_BY_TEXT)
+    for _ in range(2):
+        store.load_replace(df, t)
+    # Spark writes empty text and null into the same folder, so empty text is read as null.
+    assert rows(store.read_table(spark, t), "id", "part") == [(i, n or None) for i, n in enumerate(names)]
+    store.load_merge(df.filter("id IN (1, 2)"), t)
+    assert store.read_table(spark, t).count() == len(names)
+    assert rows(store.read_table(spark, t, evolved=True), "part")[0] == ("01",)
+
+
+def test_replace_keeps_timestamp_partitions(spark, path):
+    schema = schemas.T.StructType().add("id", "long").add("at", "timestamp_ntz")
+    t = store.Table(f"{path}/t", schema, ["id", "at"], "at")
+    df = spark.createDataFrame([(1, datetime(2024, 1, 1, 5, 30)), (2, datetime(2024, 1, 1))], schema)
+    store.load_replace(df, t)
+    store.load_replace(df, t)
+    assert rows(store.read_table(spark, t)) == rows(df)
+
+
+def test_the_later_of_repeated_source_keys_is_stored(spark, path):
+    t = table(path)
+    for _ in range(2):
+        store.load_merge(frame(spark, (1, 2020, 1.0), (2, 2020, 5.0), (1, 2020, 2.0)).coalesce(1), t)
+    assert rows(store.read_table(spark, t), "id", "value") == [(1, 2.0), (2, 5.0)]
+    store.load_merge(frame(spark, (1, 2020, 9.0), (1, 2020, 3.0)), t, order=["value"])
+    assert rows(store.read_table(spark, t), "id", "value") == [(1, 9.0), (2, 5.0)]
+
+
+def test_the_partition_column_belongs_to_the_key(path):
+    with pytest.raises(ValueError, match="partition column year"):
+        store.Table(path, LONGS, ["id"], "year")
+
+
+def test_a_write_that_stops_leaves_the_old_table(spark, path, monkeypatch):
+    """Stopped after the new folders are there, and halfway through the manifest."""
+    t = table(path)
+    store.load_replace(frame(spark, (1, 2020, 1.0), (1, 2021, 2.0), (1, 2022, 3.0)), t)
+    before = rows(store.read_table(spark, t))
+
+    def stop(*args):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_commit", stop)
+        for load in (store.load_merge, store.load_replace):
+            with pytest.raises(RuntimeError, match="stopped"):
+                load(frame(spark, (1, 2020, 9.0), (1, 2021, 9.0)), t)
+    with open(f"{path}/t/{store.MANIFESTS}/00000002", "w") as half:
+        half.write("g=00000002-x/year=2020\n")
+    assert rows(store.read_table(spark, t)) == before
+    store.load_merge(frame(spark, (1, 2021, 9.0)), t)
+    assert rows(store.read_table(spark, t), "year", "value") == [(2020, 1.0), (2021, 9.0), (2022, 3.0)]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_both_ways_to_merge_give_the_same(spark, path, small, monkeypatch):
+    """Narrower and wider source types take the target's; a value that does not fit fails."""
+    if not small:
+        monkeypatch.setattr(store, "SMALL_SOURCE_ROWS", -1)
+    t = table(path)
+    store.load_replace(frame(spark, (1, 2020, 1.0), (2, 2021, 2.0)), t)
+    source = spark.createDataFrame([(1, 2020, 7), (3, 2021, 8)], "id int, year short, value int")
+    store.load_merge(source, t)
+    got = store.read_table(spark, t)
+    assert got.schema == LONGS
+    assert rows(got) == [(1, 2020, 7.0), (2, 2021, 2.0), (3, 2021, 8.0)]
+    lossy = spark.createDataFrame([(1.5, 2020, 7.0)], "id double, year long, value double")
+    with pytest.raises(Exception, match="id does not hold 1.5"):
+        store.load_merge(lossy, t)
+    target, wide = frame(spark, (1, 2020, 1.0)), source.withColumn("id", F.col("id") + F.lit(0.5))
+    with pytest.raises(Exception, match="does not hold"):
+        M.merge_upsert(target, wide, ["id", "year"], small_source=small).collect()
+
+
+def test_new_columns_are_kept_where_asked(spark, path):
+    t = table(path)
+    store.load_replace(frame(spark, (1, 2020, 1.0), (1, 2021, 2.0)), t)
+    more = frame(spark, (1, 2021, 5.0)).withColumn("score", F.lit("3A"))
+    store.load_merge(more, t, evolve=True)
+    store.load_merge(frame(spark, (2, 2021, 6.0)), t, evolve=True)
+    found = store.read_table(spark, t, evolved=True)
+    assert rows(found, "id", "year", "value", "score") == [
+        (1, 2020, 1.0, None), (1, 2021, 5.0, "3A"), (2, 2021, 6.0, None),
+    ]
 
 
 def test_replace_drops_partitions_that_are_gone(spark, path):
@@ -74,7 +170,7 @@ def test_replace_with_nothing_and_with_null_partitions(spark, path):
 
 def test_append_adds(spark, path):
     schema = schemas.T.StructType([*LONGS.fields]).add("_loaded_at", "timestamp_ntz")
-    t = store.Table(f"{path}/raw", schema, ["id"], "year")
+    t = store.Table(f"{path}/raw", schema, ["id", "year"], "year")
     store.load_append(frame(spark, (1, 2020, 1.0)), t, AT)
     store.load_append(frame(spark, (1, 2020, 1.0)), t, AT)
     assert rows(store.read_table(spark, t), "id", "_loaded_at") == [(1, AT), (1, AT)]
@@ -83,23 +179,23 @@ def test_append_adds(spark, path):
 def test_evolved_columns_are_readable(spark, path):
     t = table(path)
     store.load_replace(frame(spark, (1, 2020, 1.0)), t)
-    extra = frame(spark, (2, 2021, 1.0)).withColumn("score", F.lit("3A"))
-    extra.write.mode("append").partitionBy("year").parquet(t.path)
+    store.load_append(frame(spark, (2, 2021, 1.0)).withColumn("score", F.lit("3A")), t, AT)
     assert "score" not in store.read_table(spark, t).columns
     assert rows(store.read_table(spark, t, evolved=True), "id", "score") == [(1, None), (2, "3A")]
 
 
-def test_create_then_upsert(spark, path):
-    """A full fact, then the same key with another name and value."""
-    row = {"country_code": 1, "country_name": "Original Name", "year": 2024,
-           "record_type": "EFConsTotGHA", "value": 100.0, "carbon": 40.0}
+def test_a_key_is_replaced_whole(spark, path):
+    """A missing column is null, and the second row wins, nulls included."""
+    row = {"country_code": 7, "country_name": "Aland", "year": 2019, "record_type": "BiocapPerCap",
+           "value": 3.5, "carbon": 1.25}
     shape = "country_code long, country_name string, year long, record_type string, value double, carbon double"
     store.insert_or_replace(spark.createDataFrame([row], shape), path)
-    again = {**row, "country_name": "Updated Name", "value": 200.0, "carbon": None}
-    counts = store.insert_or_replace(spark.createDataFrame([again], shape), path)
-    assert counts["updated"] == 1
-    back = spark.read.parquet(path)
-    assert rows(back, "country_name", "value", "carbon") == [("Updated Name", 200.0, None)]
+    again = {**row, "country_name": "Aland Islands", "value": 4.5, "carbon": None}
+    assert store.insert_or_replace(spark.createDataFrame([again], shape), path)["updated"] == 1
+    kinds = {f.name: f for f in schemas.STAGING}
+    stored = schemas.T.StructType([kinds[c] for c in store.FACT_COLUMNS])
+    back = store.read_table(spark, store.fact_table(path, stored))
+    assert rows(back, "country_name", "value", "carbon") == [("Aland Islands", 4.5, None)]
     assert len(back.columns) == 17
 
 
@@ -148,18 +244,20 @@ def test_a_hot_year_is_written_by_many_tasks(spark, path):
     assert spark.read.parquet(f"{path}/facts").count() == 400_000
 
 
-def test_year_filter_prunes_folders(spark, path):
+def test_only_named_partitions_are_read(spark, path):
     t = table(path)
     store.load_replace(frame(spark, (1, 2020, 1.0), (1, 2021, 1.0)), t)
-    plan = plan_of(store.touched_partitions(store.read_table(spark, t), frame(spark, (1, 2021, 0.0)), "year"))
+    some = store.read_table(spark, t, partitions=["year=2021"])
+    assert all("year=2021" in f for f in some.inputFiles()) and some.count() == 1
+    plan = plan_of(store.read_table(spark, t).filter("year = 2021"))
     assert "PartitionFilters: []" not in plan and "2021" in plan
 
 
-def test_small_means_few_rows_and_little_text(spark):
-    df = spark.range(10).select("id", F.lit("x" * 100).alias("text"))
-    assert store.is_small(df) and store.is_small(df.limit(0))
-    assert not store.is_small(df, rows=9)
-    assert not store.is_small(df, text_bytes=999)
+def test_small_is_told_from_rows_and_files(spark, path):
+    staged = store.stage(frame(spark, (1, 2020, 1.0), (1, 2021, 1.0)), table(path))
+    assert staged.count == 2 and staged.partitions == ["year=2020", "year=2021"] and staged.small
+    assert not store.Staged(staged.rows, "", [], store.SMALL_SOURCE_ROWS + 1, 1).small
+    assert not store.Staged(staged.rows, "", [], 1, store.SMALL_SOURCE_BYTES + 1).small
 
 
 def test_raw_snapshots_are_immutable(spark, path):
