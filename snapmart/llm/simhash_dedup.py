@@ -161,7 +161,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> Da
         sizes = rows.groupBy("key").count().where("count > 1")
         many = F.lit(False) if last else F.col("count") > crowd
         sizes = stored(sizes.select("key", many.alias("crowded")), "variants")
-        rows = rows.join(sizes, "key")
+        # A merge join at every size: broadcasting a small index would only hide how it grows.
+        rows = rows.join(sizes.hint("merge"), "key")
         if not last:
             rows = stored(rows, "variant-rows")
         found = (
