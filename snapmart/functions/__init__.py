@@ -10,6 +10,7 @@ from snapmart.functions.columns import (
     safe_long,
     to_stamp,
     week_start,
+    whole_number,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "safe_long",
     "to_stamp",
     "week_start",
+    "whole_number",
 ]

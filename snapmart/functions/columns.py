@@ -30,6 +30,13 @@ def safe_long(col: Column) -> Column:
     return col.try_cast("bigint")
 
 
+def whole_number(col: Column) -> Column:
+    """Like ``safe_long``, but '2015.0' is a whole number too; '2015.5' is none."""
+    number = col.try_cast("double")
+    whole = F.when((number == F.floor(number)) & (F.abs(number) < 2**53), number)
+    return F.coalesce(safe_long(col), whole.try_cast("bigint"))
+
+
 def as_double(col: Column) -> Column:
     return col.try_cast("double")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart import schemas
-from snapmart.functions import as_double, coalesce_names, is_missing, safe_long, to_stamp
+from snapmart.functions import as_double, coalesce_names, is_missing, safe_long, to_stamp, whole_number
 
 REASONS = "_reasons"
 
@@ -27,7 +27,7 @@ def _landed(df: DataFrame, fields: Mapping[str, str]) -> list[Column]:
         if name in schemas.MEASURES:
             col = as_double(col)
         elif name == "year":
-            col = safe_long(col)
+            col = whole_number(col)
         elif name != "country_code":
             col = col.cast("string")
         cols.append(col.alias(name))

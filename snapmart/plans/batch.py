@@ -12,25 +12,26 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart import schemas
-from snapmart.functions import is_missing, safe_long
+from snapmart.functions import is_missing, safe_long, whole_number
 from snapmart.operators import clean, dedupe
 from snapmart.quality import preload
 from snapmart.sources.landed import (
     CORRUPT,
     INPUT_ORDER,
     flatten_documents,
+    in_years,
     landed_schema,
     read_documents,
     read_records,
 )
 from snapmart.tables import state as S
 from snapmart.tables import store, zones
-from snapmart.tables.layout import literal
+from snapmart.tables.layout import literal, materialise
 
 
 def transform_batch(
@@ -140,21 +141,31 @@ def staging_rows(facts: DataFrame, at) -> DataFrame:
 
 
 def _landed_facts(spark: SparkSession, cfg: RunConfig, window: tuple[int, int]) -> DataFrame:
+    """Landed rows of the window and of the types asked for; rows without them are kept aside
+    later, so they stay here. The same rows for every layout."""
     if cfg.layout == "records":
         rows = read_records(spark, cfg.landing, years=window)
     else:
         rows = flatten_documents(read_documents(spark, cfg.landing, cfg.layout, years=window))
+        rows = rows.filter(in_years(F.col("year"), window))
     if cfg.record_types is None:
         return rows
-    return rows.filter(F.col("record").isin(list(cfg.record_types)) | F.col(CORRUPT).isNotNull())
+    return rows.filter(F.col("record").isin(list(cfg.record_types)) | is_missing(rows, "record"))
 
 
-def _landed_countries(spark: SparkSession, cfg: RunConfig) -> DataFrame:
-    """Countries from their own landing, or from the envelopes the facts came in."""
+def _landed_countries(
+    spark: SparkSession, cfg: RunConfig, window: tuple[int, int]
+) -> DataFrame:
+    """Countries from their own landing, or from the envelopes the facts of the window came in."""
     if cfg.countries_landing is not None and cfg.layout == "records":
         return read_records(spark, cfg.countries_landing, "countries")
-    docs = read_documents(spark, cfg.countries_landing or cfg.landing, cfg.layout)
-    return flatten_documents(docs, "countries", bare=cfg.countries_landing is not None)
+    if cfg.countries_landing is not None:
+        docs = read_documents(spark, cfg.countries_landing, cfg.layout)
+        return flatten_documents(docs, "countries")
+    docs = read_documents(spark, cfg.landing, cfg.layout, years=window)
+    # What does not parse was put aside with the facts of the same document.
+    rows = flatten_documents(docs, "countries", bare=False)
+    return rows.filter(F.col(CORRUPT).isNull())
 
 
 def _typed_facts(landed: DataFrame, at: datetime, window: tuple[int, int]) -> DataFrame:
@@ -167,27 +178,48 @@ def _typed_countries(landed: DataFrame, at: datetime) -> DataFrame:
     return clean.normalise_countries(landed.filter(F.col(CORRUPT).isNull()), at, keep=INPUT_ORDER)
 
 
-def _landed_rules(landed: DataFrame) -> dict:
+def _no_number(field: str, number=safe_long) -> Column:
+    return F.coalesce(number(F.col(field)), F.lit(0)) == 0
+
+
+def _landed_rules(landed: DataFrame, need_type: bool = True) -> dict:
     """Why a landed row cannot become a fact."""
+    rules = {
+        "unparsable": F.col(CORRUPT).isNotNull(),
+        "no country code": _no_number("countryCode"),
+        "no year": _no_number("year", whole_number),
+    }
+    return {**rules, "no record type": is_missing(landed, "record")} if need_type else rules
+
+
+def _country_rules(landed: DataFrame) -> dict:
+    """Why a landed row cannot become a country."""
     return {
         "unparsable": F.col(CORRUPT).isNotNull(),
-        "no country code": F.coalesce(safe_long(F.col("countryCode")), F.lit(0)) == 0,
-        "no year": F.coalesce(safe_long(F.col("year")), F.lit(0)) == 0,
-        "no record type": is_missing(landed, "record"),
+        "no country code": _no_number("countryCode"),
+        "no country name": is_missing(landed, "countryName"),
     }
 
 
-def quarantine(landed: DataFrame, root: str, name: str) -> int:
-    """Keep landed rows that cannot become facts, with their reasons; returns how many."""
-    bad = clean.quarantine_split(landed, _landed_rules(landed))[1]
-    seen = Observation()
-    if bad.limit(1).count() == 0:
-        return 0
+def quarantine(landed: DataFrame, rules: Mapping, root: str, name: str) -> int:
+    """Keep landed rows that cannot be used, with their reasons; returns how many."""
+    bad = clean.quarantine_split(landed, rules)[1]
+    path, seen = f"{root}/failed/{name}", Observation()
     rows = bad.observe(seen, F.count("*").alias("rows"))
-    rows.write.mode("errorifexists").parquet(f"{root}/failed/snapshot={name}")
+    rows.write.mode("errorifexists").parquet(path)
+    if not seen.get["rows"]:
+        store.delete_folder(landed.sparkSession, path)
     return seen.get["rows"]
 
 
+def _put_aside(landed: DataFrame, people: DataFrame, root: str, name: str) -> dict[str, int]:
+    """Unusable rows of both kinds, below ``failed``."""
+    return {
+        "quarantined": quarantine(landed, _landed_rules(landed), root, f"snapshot={name}"),
+        "quarantined_countries": quarantine(people, _country_rules(people), root, f"countries={name}"),
+    }
+
+
 def _types_of(facts: DataFrame) -> DataFrame:
     return facts.select("record_type", F.col("record_type").alias("description")).distinct()
 
@@ -216,31 +248,33 @@ def _window(spark: SparkSession, cfg: RunConfig) -> tuple[int, int]:
     return S.year_window(last, cfg.start_year, cfg.end_year, cfg.full_refresh)
 
 
+class ChecksFailed(ValueError):
+    """A run that was told to raise found its checks failed."""
+
+
 class _Run:
-    """Bookkeeping of one run: a run log row per stage, written at its end, and the metrics."""
+    """Bookkeeping of one run: a run log row per stage, written as it ends, and the metrics."""
 
     def __init__(self, spark: SparkSession, cfg: RunConfig):
         self.spark, self.cfg = spark, cfg
         self.id, self.clock = uuid.uuid4().hex, time.monotonic()
         self.metrics: dict[str, object] = {"run_id": self.id, "loaded": {}}
-        self.stages: list[tuple] = []
 
     def log(self, stage: str, status: str, **facts) -> None:
         millis = int((time.monotonic() - self.clock) * 1000)
         row = S.log_row(self.id, stage, status, self.cfg.now(), millis=millis, **facts)
-        self.stages.append(row)
+        S.log_runs(self.spark, self.cfg.log_path, [row])
         self.clock = time.monotonic()
 
     def end(self, status: str) -> dict[str, object]:
         self.metrics["status"] = status
-        S.log_runs(self.spark, self.cfg.log_path, self.stages)
         return self.metrics
 
 
 def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
     """Window, raw copy, transform, checks, staged copy, load of each target, state, run log.
 
-    Ends as success, no_data, dq_failed or failed.
+    Ends as success, no_data, dq_failed or failed; with ``raise_on_failure`` failed checks raise.
     """
     run, at = _Run(spark, cfg), cfg.now()
     try:
@@ -252,39 +286,36 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
             return run.end("no_data")
 
         landed = read_raw_snapshot(spark, raw["path"])
-        run.metrics["quarantined"] = quarantine(landed, cfg.root, zones.snapshot_name(at))
-        countries = _typed_countries(_landed_countries(spark, cfg), at)
+        people = _landed_countries(spark, cfg, window)
+        run.metrics.update(_put_aside(landed, people, cfg.root, zones.snapshot_name(at)))
+        countries = _typed_countries(people, at)
         facts = _typed_facts(landed, at, window)
         countries, facts = transform_batch(countries, facts, at)
         if cfg.enforce_contract:
             facts, broken = clean.contract_enforce(facts, schemas.FACT)
             broken.write.mode("errorifexists").parquet(f"{cfg.root}/failed/contract={run.id}")
-        facts.persist()
-        countries.persist()
-        try:
-            if cfg.check:
-                results = preload.run_definitions(
-                    {"footprint_data": facts, "countries": countries}, cfg.definitions
-                )
-                report = preload.gate(
-                    preload.dq_report(results), cfg.raise_on_failure, cfg.warn_only
-                )
-                run.metrics["checks"] = report
-                run.log("CHECK", "SUCCESS" if report["passed"] else "WARNING")
-                if not report["passed"] and not cfg.warn_only:
-                    return run.end("dq_failed")
-            staged = zones.write_staged(facts, cfg.root, at)
-        finally:
-            facts.unpersist()
+        # Written first: the checks and the loads read the stored copies.
+        staged = zones.write_staged(facts, cfg.root, at)
+        stored = zones.read_staged(spark, cfg.root, staged["snapshot"])
+        countries = materialise(countries)
         run.metrics.update(staged_path=staged["path"], valid=staged["record_count"])
         run.log("TRANSFORM", "SUCCESS", records=staged["record_count"])
+        if cfg.check:
+            results = preload.run_definitions(
+                {"footprint_data": stored, "countries": countries}, cfg.definitions
+            )
+            report = preload.gate(preload.dq_report(results), raise_on_failure=False)
+            run.metrics["checks"] = report
+            run.log("CHECK", "SUCCESS" if report["passed"] else "WARNING")
+            if not report["passed"] and not cfg.warn_only:
+                if cfg.raise_on_failure:
+                    raise ChecksFailed(f"{report['checks_failed']} checks failed: {report['failed_checks']}")
+                return run.end("dq_failed")
 
-        stored = zones.read_staged(spark, cfg.root, staged["snapshot"])
         results = store.multi_target(
             stored,
             {t: lambda df, t=t: _load(cfg, t, df, countries, False) for t in cfg.targets},
         )
-        countries.unpersist()
         run.metrics["loaded"] = {r["target"]: r for r in results}
         failed = [r for r in results if r["status"] == "failed"]
         run.log("LOAD", "FAILED" if failed else "SUCCESS", records=staged["record_count"],
@@ -297,25 +328,30 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
             last = S.observed_last_year(stored, window[1])
         S.write_state(spark, cfg.state_path, cfg.job, last, run.id, at)
         return run.end("success")
+    except ChecksFailed as error:
+        run.log("RUN", "FAILED", error=str(error))
+        raise
     except Exception as error:
         run.metrics["error"] = str(error)
-        run.log("RUN", "FAILED", error=str(error)[:4000])
+        run.log("RUN", "FAILED", error=str(error))
         return run.end("failed")
 
 
 def direct_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
-    """Extract and load without landing copies; countries are replaced, facts merged."""
+    """Extract and load without landing copies; countries are replaced, facts merged.
+
+    Returns the counts of each target, and how many rows were put aside.
+    """
     at, window = cfg.now(), (cfg.start_year, cfg.end_year)
-    facts = _typed_facts(_landed_facts(spark, cfg, window), at, window)
+    landed, people = _landed_facts(spark, cfg, window), _landed_countries(spark, cfg, window)
+    aside = _put_aside(landed, people, cfg.root, f"{zones.snapshot_name(at)}_{uuid.uuid4().hex[:8]}")
+    facts = _typed_facts(landed, at, window)
     facts = dedupe.dedupe_first(clean.require_fields(facts), schemas.FACT_KEY, INPUT_ORDER)
-    countries = dedupe.dedupe_countries(
-        _typed_countries(_landed_countries(spark, cfg), at), INPUT_ORDER
-    ).withColumn("transformed_at", F.lit(None).cast("timestamp_ntz"))
-    facts.persist()
-    try:
-        return {t: _load(cfg, t, facts, countries, True) for t in cfg.targets}
-    finally:
-        facts.unpersist()
+    countries = dedupe.dedupe_countries(_typed_countries(people, at), INPUT_ORDER).withColumn(
+        "transformed_at", F.lit(None).cast("timestamp_ntz")
+    )
+    facts = materialise(facts)
+    return {**{t: _load(cfg, t, facts, countries, True) for t in cfg.targets}, **aside}
 
 
 def extract_stage(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
@@ -328,11 +364,17 @@ def extract_stage(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
 
 
 def transform_stage(spark: SparkSession, raw_path: str, at: datetime) -> dict[str, object]:
-    """Stage 2: a raw snapshot, by path, to its transformed copy."""
-    landed = read_raw_snapshot(spark, raw_path).filter(F.col(CORRUPT).isNull())
-    facts = clean.normalise_records(landed, at, parse_code=False, keep=INPUT_ORDER)
+    """Stage 2: a raw snapshot, by path, to its transformed copy; unusable rows are put aside."""
+    landed = read_raw_snapshot(spark, raw_path)
+    root, _, name = raw_path.rpartition("/raw/")
+    bad = quarantine(landed, _landed_rules(landed, need_type=False), root, name)
+    parsed = landed.filter(F.col(CORRUPT).isNull())
+    facts = clean.normalise_records(parsed, at, parse_code=False, keep=INPUT_ORDER)
     out = zones.write_transformed(transform_enriched(facts, at), raw_path, at)
-    return {"status": "success", "records_count": out["record_count"], "path": out["path"]}
+    return {
+        "status": "success", "records_count": out["record_count"], "path": out["path"],
+        "quarantined": bad,
+    }
 
 
 def load_stage(spark: SparkSession, path: str, cfg: RunConfig, target: str) -> dict[str, object]:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart import schemas
-from snapmart.functions import safe_long
+from snapmart.functions import whole_number
 
 CORRUPT = "_corrupt_record"
 SOURCE, ROW, BLOCK, SEQ = "_source_file", "_row_number", "_block", "_seq"
@@ -23,6 +23,15 @@ SOURCE, ROW, BLOCK, SEQ = "_source_file", "_row_number", "_block", "_seq"
 INPUT_ORDER = [SOURCE, BLOCK, SEQ, ROW]
 
 
+def in_years(year: Column, years: tuple[int, int]) -> Column:
+    """Rows of the years asked for, and those whose year is none, which have to be put aside.
+
+    Over a folder column this prunes folders, since nothing else is looked at.
+    """
+    number = whole_number(year.cast("string"))
+    return number.isNull() | number.between(*years)
+
+
 def _texts(fields: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType()) for f in fields])
 
@@ -56,12 +65,12 @@ def read_documents(
 ) -> DataFrame:
     """Landed texts with file and order columns; ``layout`` is 'lines' or 'files'.
 
-    Where files lie in ``year=`` folders, ``years`` keeps the others from being read.
-    ``recursive`` takes any folders and treats none of them as columns.
+    Where files lie in ``year=`` folders, ``years`` keeps the others from being read; a folder
+    that names no year is read. ``recursive`` takes any folders and treats none of them as columns.
     """
     texts = spark.read.text(path, wholetext=layout == "files", recursiveFileLookup=recursive)
     if years is not None and "year" in texts.columns:
-        texts = texts.filter(F.col("year").between(*years))
+        texts = texts.filter(in_years(F.col("year"), years))
     return texts.select(
         F.col("value").alias("document"),
         F.col("_metadata.file_path").alias(SOURCE),
@@ -125,13 +134,14 @@ def read_records(
 ) -> DataFrame:
     """JSON Lines of single records, by Spark's own JSON reader: the fastest way in.
 
-    Same columns as ``flatten_documents``.
+    Same columns as ``flatten_documents``. Where files lie in ``year=`` folders, the folder is the
+    year of its rows, and folders of other ``years`` are not read.
     """
     fields = _record_fields(section)
     schema = _texts([*fields, CORRUPT])
     rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
     if years is not None:
-        rows = rows.filter(safe_long(F.col("year")).between(*years) | F.col(CORRUPT).isNotNull())
+        rows = rows.filter(in_years(F.col("year"), years))
     return rows.select(
         *fields,
         F.col("_metadata.file_path").alias(SOURCE),
@@ -178,17 +188,21 @@ def read_latest_snapshot(
 ) -> DataFrame:
     """The newest ``snapshot=`` folder by name, one named folder, or all of them.
 
-    The newest name comes from a scalar subquery, which prunes folders at run time.
+    The folders are listed and only the one asked for is read.
     """
+    from snapmart.tables.store import list_folders
+
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    rows = reader.option("basePath", path).parquet(path)
+    reader = reader.option("basePath", path)
     if which == "all":
-        return rows
-    name = F.col("snapshot").cast("string")
-    if which != "latest":
-        return rows.filter(name == which)
-    newest = rows.agg(F.max("snapshot").alias("newest")).scalar()
-    return rows.filter(F.col("snapshot") == newest)
+        return reader.parquet(path)
+    name = which
+    if which == "latest":
+        found = list_folders(spark, f"{path}/snapshot=*")
+        if not found:
+            return reader.parquet(path)
+        name = found[-1].rsplit("snapshot=", 1)[1]
+    return reader.parquet(f"{path}/snapshot={name}")
 
 
 def read_csv_typed(

@@ -14,7 +14,8 @@ from snapmart.tables.store import delete_folder, list_folders
 
 
 def snapshot_name(at: datetime) -> str:
-    return at.strftime("%Y%m%d_%H%M%S")
+    """Names sort by time; parts of a second are named where there are any."""
+    return at.strftime("%Y%m%d_%H%M%S_%f" if at.microsecond else "%Y%m%d_%H%M%S")
 
 
 def _text_stamps(df: DataFrame) -> DataFrame:
@@ -50,8 +51,9 @@ def write_staged(df: DataFrame, root: str, at: datetime) -> dict[str, object]:
 
 def read_staged(spark: SparkSession, root: str, snapshot: str) -> DataFrame:
     """The rows of one staged snapshot; only its folder is read."""
-    rows = spark.read.parquet(f"{root}/staged")
-    return rows.filter(F.col("snapshot") == snapshot).drop("ingest_date", "snapshot")
+    reader = spark.read.option("basePath", f"{root}/staged")
+    rows = reader.parquet(*list_folders(spark, f"{root}/staged/ingest_date=*/snapshot={snapshot}"))
+    return rows.drop("ingest_date", "snapshot")
 
 
 def transformed_path(source_path: str) -> str:
@@ -60,7 +62,8 @@ def transformed_path(source_path: str) -> str:
     raw/x.json becomes transformed/x_transformed.json, and a raw snapshot folder becomes
     transformed/<same name>_transformed.
     """
-    moved = source_path.replace("raw/", "transformed/")
+    before, found, after = source_path.rpartition("raw/")
+    moved = f"{before}transformed/{after}" if found else source_path
     if moved.endswith(".json"):
         return moved[: -len(".json")] + "_transformed.json"
     return moved + "_transformed"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from snapmart.plans import batch, monitor
 from snapmart.tables import state, store
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 
 NOW = datetime(2024, 1, 31, 12)
 
@@ -53,7 +53,7 @@ def test_batch_run(spark, path):
     cfg = config(path, targets=("main", "copy"))
     done = batch.batch_run(spark, cfg)
     assert done["status"] == "success" and done["window"] == (2010, 2024)
-    assert (done["extracted"], done["valid"], done["quarantined"]) == (7, 1, 4)
+    assert (done["extracted"], done["valid"], done["quarantined"]) == (6, 1, 4)
     assert loaded(spark, cfg) == loaded(spark, cfg, "copy") == [(1, 2015, "EFConsTotGHA", 1.0)]
     assert store.read_table(spark, cfg.countries("main")).count() == 2
     bad = spark.read.parquet(f"{cfg.root}/failed/snapshot=20240131_120000")
@@ -70,6 +70,56 @@ def test_batch_run(spark, path):
     assert loaded(spark, cfg) == [(1, 2015, "EFConsTotGHA", 1.0), (1, 2024, "EFConsTotGHA", 8.0)]
 
 
+DIRTY = [
+    record(1, 2015, 1.0), record(1, "2016.0", 2.0), record(2, None, 3.0), record(2, "20x5", 4.0),
+    record(2, "2015.5", 5.0), record("all", 2015, 6.0), record(2, 2015, 7.0, None), record(1, 1999, 8.0),
+]
+
+
+@pytest.mark.parametrize("layout", ["records", "lines", "files"])
+@pytest.mark.parametrize("run", ["batch", "direct", "staged"])
+def test_no_row_vanishes_in_any_layout(spark, path, layout, run):
+    """Good and bad rows are the landed rows of the window, the same for every layout and run."""
+    lines = [*DIRTY, "{broken"]
+    people = [{"countryCode": 1, "countryName": "A"}, {"countryCode": "all", "countryName": "B"}, "{no"]
+    for folder, docs in (("land", lines), ("people", people)):
+        files = [[d] for d in docs] if layout == "files" else [docs]
+        for i, some in enumerate(files):
+            put(f"{path}/{folder}", f"{i}.json", *some)
+    cfg = config(path, layout=layout, countries_landing=f"{path}/people")
+    staged = run == "staged"
+    if run == "batch":
+        done = batch.batch_run(spark, cfg)
+        assert (done["extracted"], done["status"], done["quarantined_countries"]) == (8, "success", 2)
+    elif run == "direct":
+        done = batch.direct_run(spark, cfg)
+        assert done["quarantined_countries"] == 2
+    else:
+        raw = batch.extract_stage(spark, cfg)
+        assert raw["records_count"] == 8
+        done = batch.transform_stage(spark, raw["path"], NOW)
+        batch.load_stage(spark, done["path"], cfg, "main")
+    good = [(1, 2015, "EFConsTotGHA", 1.0), (1, 2016, "EFConsTotGHA", 2.0)]
+    # A missing type is no fault in a staged run; it becomes unknown.
+    assert loaded(spark, cfg) == sorted([*good, *([(2, 2015, "unknown", 7.0)] if staged else [])])
+    assert done["quarantined"] == (5 if staged else 6)
+    bad = spark.read.parquet(f"{cfg.root}/failed/snapshot=*")
+    assert bad.count() == done["quarantined"]
+
+
+@pytest.mark.parametrize("layout", ["records", "lines"])
+def test_folders_of_other_years_are_not_read(spark, path, layout):
+    for year in (2001, 2015, "20x5"):
+        put(f"{path}/land/year={year}", "a.json", record(1, year, 1.0))
+    cfg = config(path, layout=layout)
+    rows_ = batch._landed_facts(spark, cfg, (2010, 2024))
+    plan = plan_of(rows_)
+    assert "PartitionFilters: []" not in plan and "year#" in plan.split("PartitionFilters:")[1]
+    assert rows(rows_, "countryCode") == [("1",), ("1",)]
+    assert "number of partitions read: 2" in plan or len(set(
+        r[0] for r in rows_.select("_source_file").collect())) == 2
+
+
 def test_no_data(spark, path):
     put(f"{path}/land", "a.json", envelope())
     assert batch.batch_run(spark, config(path))["status"] == "no_data"
@@ -86,9 +136,9 @@ def test_failed_checks_stop_the_run(spark, path):
     assert state.last_year_of(state.read_state(spark, cfg.state_path), cfg.job) is None
     warned = batch.batch_run(spark, replace(cfg, warn_only=True, at=datetime(2024, 2, 1)))
     assert warned["status"] == "success"
-    raised = batch.batch_run(spark, replace(cfg, raise_on_failure=True, at=datetime(2024, 2, 2),
-                                            full_refresh=True))
-    assert raised["status"] == "failed" and "1 checks failed" in raised["error"]
+    with pytest.raises(batch.ChecksFailed, match="1 checks failed"):
+        batch.batch_run(spark, replace(cfg, raise_on_failure=True, at=datetime(2024, 2, 2),
+                                       full_refresh=True))
 
 
 def test_state_of_the_years_seen(spark, path):
