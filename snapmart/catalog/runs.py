@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from snapmart import schemas
 from snapmart.catalog import inputs as I
 from snapmart.catalog.registry import AS_OF, query, sql
+from snapmart.operators import clean
 from snapmart.plans import batch
 from snapmart.session import scratch_path
 from snapmart.tables import store
@@ -66,13 +68,49 @@ def transform_enriched(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*schemas.FACT_KEY, "value", "carbon_pct_of_total", "transformed_at")
 
 
-def _land(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """Facts as JSON Lines by year, one row per key, and countries as JSON Lines."""
+# What the runs land: every fact row, several rows of a key, some without type, broken lines.
+DIRTY = """SELECT event_id, country_code, year,
+    CASE WHEN event_id % 11 = 0 THEN NULL ELSE record_type END AS record_type,
+    value, carbon, score, carbon_pct_of_total FROM fp"""
+BROKEN_EVERY = 97
+ENVELOPE = 5
+
+
+def _dirty(spark: SparkSession, sf: str) -> DataFrame:
+    kind = F.when(F.col("event_id") % 11 > 0, F.col("record_type"))
+    return I.facts(spark, sf).withColumn("record_type", kind)
+
+
+def _land(spark: SparkSession, sf: str, layout: str) -> tuple[str, str]:
+    """Facts by year, in the order of their events, and countries, as JSON.
+
+    'records' lands a record per line; 'lines' lands envelopes and bare arrays in turn, with
+    ``ENVELOPE`` records each. One line in ``BROKEN_EVERY`` records is broken.
+    """
     facts, people = scratch_path(spark, "landing"), scratch_path(spark, "countries")
     fields = [F.col(c).alias(f) for c, f in schemas.RECORD_FIELDS.items()]
-    rows = I.staging(spark, sf).select(*fields).withColumn("folder", F.col("year"))
-    line = F.to_json(F.struct(*schemas.RECORD_FIELDS.values())).alias("value")
-    rows.select(line, F.col("folder").alias("year")).write.partitionBy("year").text(facts)
+    rows = _dirty(spark, sf).select("event_id", *fields)
+    order, record = F.col("event_id"), F.struct(*schemas.RECORD_FIELDS.values())
+    broken = rows.filter(order % BROKEN_EVERY == 0).select(
+        F.col("year").alias("folder"), (order + 0.5).alias("place"), F.lit('{"countryCode": 1,').alias("value")
+    )
+    if layout == "records":
+        whole = rows.select(F.col("year").alias("folder"), order.cast("double").alias("place"),
+                            F.to_json(record).alias("value"))
+    else:
+        group = F.floor(order / (ENVELOPE * 31))
+        docs = rows.groupBy("year", group.alias("group")).agg(
+            F.array_sort(F.collect_list(F.struct("event_id", record.alias("r")))).alias("rs")
+        )
+        records = F.transform("rs", lambda x: x["r"])
+        bare = F.to_json(records)
+        envelope = F.to_json(F.struct(records.alias("footprint_data"), F.array().cast("array<string>").alias("record_types")))
+        whole = docs.select(
+            F.col("year").alias("folder"), F.col("rs")[0]["event_id"].cast("double").alias("place"),
+            F.when(F.col("group") % 2 == 0, bare).otherwise(envelope).alias("value"),
+        )
+    lines = whole.union(broken).repartitionByRange("folder").sortWithinPartitions("folder", "place")
+    lines.select("value", F.col("folder").alias("year")).write.partitionBy("year").text(facts)
     I.countries(spark, sf).select(
         F.col("country_code").alias("countryCode"),
         F.col("country_name").alias("countryName"),
@@ -81,10 +119,12 @@ def _land(spark: SparkSession, sf: str) -> tuple[str, str]:
     return facts, people
 
 
-def _config(spark: SparkSession, sf: str, start: int, end: int, **options) -> batch.RunConfig:
-    facts, people = _land(spark, sf)
+def _config(
+    spark: SparkSession, sf: str, start: int, end: int, layout: str = "lines", **options
+) -> batch.RunConfig:
+    facts, people = _land(spark, sf, layout)
     return batch.RunConfig(
-        landing=facts, countries_landing=people, root=scratch_path(spark, "root"),
+        landing=facts, countries_landing=people, root=scratch_path(spark, "root"), layout=layout,
         start_year=start, end_year=end, at=datetime(2024, 1, 31), **options,
     )
 
@@ -94,27 +134,74 @@ def _facts_of(spark: SparkSession, cfg: batch.RunConfig, target: str = "main") -
     return rows.select(*schemas.FACT_KEY, "value", "carbon", "score")
 
 
-def loaded_sql(start: int, end: int, extra: str = "") -> str:
+def loaded_sql(start: int, end: int, extra: str = "", unknown: bool = False) -> str:
+    """The first landed row of every key of the years, of the rows that are usable."""
+    kind = "coalesce(record_type, 'unknown')" if unknown else "record_type"
+    return sql(
+        f"""SELECT {KEY}, value, carbon, score{extra} FROM (
+          SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY event_id) AS rn
+          FROM (SELECT * REPLACE ({kind} AS record_type) FROM ({DIRTY}) AS d) AS e
+          WHERE country_code <> 0 AND record_type IS NOT NULL AND year BETWEEN {start} AND {end})
+        AS x WHERE rn = 1""",
+        "fp",
+    )
+
+
+def aside_sql(start: int, end: int, need_type: bool = True) -> str:
+    """Rows by why they were put aside, and the landed rows."""
+    dirty = f"(SELECT * FROM ({DIRTY}) AS d WHERE year BETWEEN {start} AND {end})"
+    broken = f"(SELECT * FROM {dirty} AS b WHERE event_id % {BROKEN_EVERY} = 0)"
+    kind = (
+        f"""UNION ALL SELECT 'no record type', count(*) FROM
+        (SELECT event_id FROM {dirty} AS t WHERE record_type IS NULL UNION ALL SELECT event_id FROM {broken} AS t2)
+        AS t3""" if need_type else ""
+    )
+    # The folder is the year of a record read by line; a broken document has none.
     return sql(
-        f"""SELECT {KEY}, value, carbon, score{extra} FROM stg
-        WHERE country_code <> 0 AND year BETWEEN {start} AND {end}""",
-        "stg",
+        f"""SELECT reason, CAST(n AS BIGINT) AS n FROM (
+        SELECT 'unparsable' AS reason, count(*) AS n FROM {broken} AS u
+        UNION ALL SELECT 'no country code', count(*) FROM
+          (SELECT event_id FROM {dirty} AS c WHERE country_code = 0 UNION ALL SELECT event_id FROM {broken} AS c2) AS c3
+        {kind}
+        UNION ALL SELECT 'no year', count(*) FROM {broken} AS y
+        UNION ALL SELECT 'landed', count(*) FROM
+          (SELECT event_id FROM {dirty} AS l UNION ALL SELECT event_id FROM {broken} AS l2) AS l3)
+        AS r WHERE n > 0""",
+        "fp",
     )
 
 
+def _aside(spark: SparkSession, cfg: batch.RunConfig, landed: int) -> DataFrame:
+    """Reasons of the rows below ``failed``, with the number of landed rows."""
+    bad = spark.read.parquet(f"{cfg.root}/failed/snapshot=*")
+    reasons = bad.select(F.explode("_reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    total = spark.range(1).select(F.lit("landed").alias("reason"), F.lit(landed).cast("bigint").alias("n"))
+    return reasons.union(total)
+
+
+def _ran(done: dict) -> dict:
+    if done["status"] != "success":
+        raise RuntimeError(str(done))
+    return done
+
+
 @query("batch_run", loaded_sql(2001, 2020))
 def batch_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs: the second goes on from the state of the first. Warnings do not stop them."""
-    from dataclasses import replace
-
-    cfg = _config(spark, sf, 2001, 2010, warn_only=True, layout="records")
+    """Two runs: the second goes on from the state of the first. Failed checks would stop them."""
+    cfg = _config(spark, sf, 2001, 2010, layout="records")
     for end, day in ((2010, 30), (2020, 31)):
-        done = batch.batch_run(spark, replace(cfg, end_year=end, at=datetime(2024, 1, day)))
-        if done["status"] != "success":
-            raise RuntimeError(str(done))
+        _ran(batch.batch_run(spark, replace(cfg, end_year=end, at=datetime(2024, 1, day))))
     return _facts_of(spark, cfg)
 
 
+@query("batch_run_aside", aside_sql(2003, 2020))
+def batch_run_aside(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run puts aside from documents of several records: good and bad are all that landed."""
+    cfg = _config(spark, sf, 2003, 2020)
+    done = _ran(batch.batch_run(spark, cfg))
+    return _aside(spark, cfg, done["extracted"])
+
+
 @query("direct_run", loaded_sql(2005, 2015))
 def direct_run(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _config(spark, sf, 2005, 2015)
@@ -122,25 +209,37 @@ def direct_run(spark: SparkSession, sf: str) -> DataFrame:
     return _facts_of(spark, cfg)
 
 
-@query("staged_run", loaded_sql(2010, 2030, ", carbon_pct_of_total"))
+@query("direct_run_aside", aside_sql(2005, 2015))
+def direct_run_aside(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = _config(spark, sf, 2005, 2015)
+    done = batch.direct_run(spark, cfg)
+    usable = batch._typed_facts(batch._landed_facts(spark, cfg, (2005, 2015)), cfg.now(), (2005, 2015))
+    good = clean.require_fields(usable).count()
+    return _aside(spark, cfg, good + done["quarantined"])
+
+
+@query("staged_run", loaded_sql(2010, 2030, ", carbon_pct_of_total", unknown=True))
 def staged_run(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _config(spark, sf, 2010, 2030)
-    batch.staged_run(spark, cfg)
-    table = cfg.fact("main")
-    rows = store.read_table(spark, table)
+    _ran(batch.staged_run(spark, cfg))
+    rows = store.read_table(spark, cfg.fact("main"))
     return rows.select(*schemas.FACT_KEY, "value", "carbon", "score", "carbon_pct_of_total")
 
 
+@query("staged_run_aside", aside_sql(2010, 2030, need_type=False))
+def staged_run_aside(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = _config(spark, sf, 2010, 2030)
+    raw = batch.extract_stage(spark, cfg)
+    batch.transform_stage(spark, raw["path"], cfg.now())
+    return _aside(spark, cfg, raw["records_count"])
+
+
 @query("full_refresh", loaded_sql(2015, 2025))
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Years loaded before and not in the refreshed range are gone."""
-    from dataclasses import replace
-
-    cfg = _config(spark, sf, 2001, 2010, warn_only=True)
+    cfg = _config(spark, sf, 2001, 2010)
     batch.direct_run(spark, cfg)
-    done = batch.full_refresh(spark, replace(cfg, start_year=2015, end_year=2025))
-    if done["status"] != "success":
-        raise RuntimeError(str(done))
+    _ran(batch.full_refresh(spark, replace(cfg, start_year=2015, end_year=2025)))
     return _facts_of(spark, cfg)
 
 
