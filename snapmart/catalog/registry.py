@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapmart import schemas
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -20,24 +18,28 @@ FACT_TYPE = """CASE event_type WHEN 'view' THEN 'EFConsTotGHA' WHEN 'click' THEN
     ELSE 'EFConsCarbonGHA' END"""
 
 
-def metric_sql(name: str) -> str:
-    """A mart metric as a DuckDB aggregate."""
-    if name == schemas.DEFICIT:
-        return " - ".join(metric_sql(n) for n in schemas.DEFICIT_OF)
-    if name in schemas.COLUMN_METRICS:
-        return f"max({schemas.COLUMN_METRICS[name]})"
-    measure, parts, exact = schemas.TYPE_METRICS[name]
-    named = " AND ".join(f"contains(record_type, '{p}')" for p in parts)
-    either = f"({named}) OR record_type = '{exact}'" if exact else named
-    return f"max({measure}) FILTER (WHERE {either})"
-
-
-def metrics_sql(names: list[str]) -> str:
-    return ", ".join(f"{metric_sql(n)} AS {n}" for n in names)
-
-
-MART_METRICS = metrics_sql(schemas.VIEW_METRICS)
-MART_COLUMNS = metrics_sql(schemas.MART_METRICS)
+# Written out, not made from the operators' own tables, so that a wrong metric shows.
+MART_METRICS = """
+  max(value) FILTER (WHERE record_type LIKE '%EFConsTot%' OR record_type = 'EFCtot')
+    AS total_ecological_footprint,
+  max(carbon) FILTER (WHERE record_type LIKE '%Carbon%' OR record_type = 'EFCcarb')
+    AS carbon_footprint,
+  max(value) FILTER (WHERE record_type LIKE '%BiocapTot%' OR record_type = 'BioCaptot')
+    AS total_biocapacity,
+  max(value) FILTER (WHERE record_type LIKE '%EFConsTot%' OR record_type = 'EFCtot')
+    - max(value) FILTER (WHERE record_type LIKE '%BiocapTot%' OR record_type = 'BioCaptot')
+    AS ecological_deficit,
+  max(carbon_pct_of_total) AS carbon_percentage"""
+MART_COLUMNS = f"""{MART_METRICS},
+  max(value) FILTER (WHERE record_type LIKE '%PerCap%' AND record_type LIKE '%EF%')
+    AS footprint_per_capita,
+  max(carbon) FILTER (WHERE record_type LIKE '%CarbonPerCap%' OR record_type = 'EFCcarbPerCap')
+    AS carbon_per_capita,
+  max(value) FILTER (WHERE record_type LIKE '%BiocapPerCap%' OR record_type = 'BioCaptotPerCap')
+    AS biocapacity_per_capita,
+  max(crop_land) AS cropland_footprint, max(grazing_land) AS grazing_footprint,
+  max(forest_land) AS forest_footprint, max(fishing_ground) AS fishing_footprint,
+  max(builtup_land) AS builtup_footprint"""
 
 LATEST = (
     "row_number() OVER (PARTITION BY country_code, year, record_type "

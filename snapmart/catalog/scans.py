@@ -20,14 +20,29 @@ FACT_COLUMNS = [
 FACT_LIST = ", ".join(FACT_COLUMNS)
 
 
-@query("read_envelope", sql(f"SELECT {FACT_LIST}, CAST(1 AS BIGINT) AS _row_number FROM fp", "fp"))
+@query(
+    "read_envelope",
+    sql(
+        f"""SELECT {FACT_LIST}, row_number() OVER (PARTITION BY event_id // 5 ORDER BY event_id)
+        AS _row_number FROM fp""",
+        "fp",
+    ),
+)
 def read_envelope(spark: SparkSession, sf: str) -> DataFrame:
-    """One envelope document per event, flattened again."""
+    """Up to five events in a document, which is an envelope or a bare array, flattened again."""
     records = I.landed_records(spark, sf)
     fields = list(schemas.RECORD_FIELDS.values())
-    envelope = F.struct(F.array(F.struct(*fields)).alias("footprint_data"))
+    group = F.floor(F.col("event_id") / 5).alias("group")
+    docs = records.groupBy(group).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", F.struct(*fields).alias("r")))).alias("rs")
+    )
+    several = F.transform("rs", lambda x: x["r"])
+    envelope = F.struct(
+        several.alias("footprint_data"), F.array(F.struct(F.lit(1).alias("countryCode"))).alias("countries")
+    )
+    text = F.when(F.col("group") % 2 == 0, F.to_json(envelope)).otherwise(F.to_json(several))
     path = scratch_path(spark, "envelopes")
-    records.select(F.to_json(envelope).alias("value")).write.text(path)
+    docs.select(text.alias("value")).write.text(path)
     rows = landed.read_envelope(spark, path)
     typed = clean.normalise_records(rows, I.as_of(), keep=["_row_number"])
     return typed.select(*FACT_COLUMNS, "_row_number")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,18 +59,15 @@ def summary_view(staging: DataFrame) -> DataFrame:
     )
 
 
-def trends_view(staging: DataFrame) -> DataFrame:
+def trends_view(staging: DataFrame, ordered: bool = True) -> DataFrame:
     """Sums per country and year. Carbon is summed over all types, so parts count with totals."""
     footprint = F.when(_of_types(["EFConsTot"]), F.col("value"))
-    return (
-        staging.groupBy("country_name", "iso_alpha2", "year")
-        .agg(
-            F.sum(footprint).alias("total_footprint"),
-            F.sum("carbon").alias("carbon_footprint"),
-            F.max("carbon_pct_of_total").alias("carbon_percentage"),
-        )
-        .orderBy("country_name", "year", "iso_alpha2")
+    out = staging.groupBy("country_name", "iso_alpha2", "year").agg(
+        F.sum(footprint).alias("total_footprint"),
+        F.sum("carbon").alias("carbon_footprint"),
+        F.max("carbon_pct_of_total").alias("carbon_percentage"),
     )
+    return out.orderBy("country_name", "year", "iso_alpha2") if ordered else out
 
 
 def legacy_summary(fact: DataFrame, measure: str = "carbon") -> DataFrame:
@@ -81,66 +78,76 @@ def legacy_summary(fact: DataFrame, measure: str = "carbon") -> DataFrame:
     )
 
 
-def country_coverage(staging: DataFrame) -> DataFrame:
-    return (
-        staging.groupBy("country_code", "country_name", "iso_alpha2")
-        .agg(
-            F.count_distinct("year").alias("years_available"),
-            F.min("year").alias("first_year"),
-            F.max("year").alias("last_year"),
-            F.count_distinct("record_type").alias("record_types"),
-            F.max("_loaded_at").alias("last_updated"),
-        )
-        .orderBy("country_name", "country_code")
-    )
+def with_distincts(
+    df: DataFrame, key: Sequence[str], distinct: Mapping[str, Column], aggregates: Sequence[Column] = ()
+) -> DataFrame:
+    """Aggregates and distinct counts (alias -> column) per key, or of the whole for no key.
+
+    Several distinct counts in one aggregate would copy every row once for each of them. Here
+    each gets a pass of its own that reads its columns only, and the results, one row per key,
+    are put together by a union and a maximum.
+    """
+    parts = [df.groupBy(*key).agg(*aggregates)] if aggregates else []
+    for name, col in distinct.items():
+        values = df.select(*key, col.alias("_value")).distinct()
+        parts.append(values.groupBy(*key).agg(F.count("_value").alias(name)))
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part, allowMissingColumns=True)
+    return both.groupBy(*key).agg(*[F.max(c).alias(c) for c in both.columns if c not in key])
+
+
+def country_coverage(staging: DataFrame, ordered: bool = True) -> DataFrame:
+    key = ["country_code", "country_name", "iso_alpha2"]
+    out = with_distincts(
+        staging, key,
+        {"years_available": F.col("year"), "record_types": F.col("record_type")},
+        [F.min("year").alias("first_year"), F.max("year").alias("last_year"),
+         F.max("_loaded_at").alias("last_updated")],
+    ).select(*key, "years_available", "first_year", "last_year", "record_types", "last_updated")
+    return out.orderBy("country_name", "country_code") if ordered else out
 
 
 def load_summary(raw: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
     """Rows, files and countries per load hour of the last days."""
     since = as_of - F.make_dt_interval(days=F.lit(days))
     hour = F.date_trunc("hour", F.col("_loaded_at")).cast("timestamp_ntz")
-    return (
-        raw.filter(F.col("_loaded_at") >= since)
-        .groupBy(hour.alias("load_hour"))
-        .agg(
-            F.count("*").alias("records_loaded"),
-            F.count_distinct("_source_file").alias("files_loaded"),
-            F.count_distinct("country_code").alias("countries_loaded"),
-            F.min("year").alias("min_year"),
-            F.max("year").alias("max_year"),
-        )
-        .orderBy(F.col("load_hour").desc())
-    )
+    recent = raw.filter(F.col("_loaded_at") >= since).withColumn("load_hour", hour)
+    return with_distincts(
+        recent, ["load_hour"],
+        {"files_loaded": F.col("_source_file"), "countries_loaded": F.col("country_code")},
+        [F.count("*").alias("records_loaded"), F.min("year").alias("min_year"),
+         F.max("year").alias("max_year")],
+    ).orderBy(F.col("load_hour").desc())
 
 
 def extract_metadata(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count("*").alias("total_records"),
-        F.count_distinct("country_code").alias("unique_countries"),
-        F.count_distinct(F.nullif("record_type", F.lit(""))).alias("unique_record_types"),
-    )
+    return with_distincts(
+        df, [],
+        {"unique_countries": F.col("country_code"),
+         "unique_record_types": F.nullif("record_type", F.lit(""))},
+        [F.count("*").alias("total_records")],
+    )
 
 
 def table_counts(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count("*").alias("records"), F.count_distinct("country_code").alias("countries")
+    return with_distincts(
+        df, [], {"countries": F.col("country_code")}, [F.count("*").alias("records")]
     )
 
 
 def table_summary(df: DataFrame) -> DataFrame:
-    return df.agg(
-        F.count("*").alias("records"),
-        F.count_distinct("country_code").alias("countries"),
-        F.count_distinct("year").alias("years"),
-        F.min("year").alias("min_year"),
-        F.max("year").alias("max_year"),
-    )
+    return with_distincts(
+        df, [], {"countries": F.col("country_code"), "years": F.col("year")},
+        [F.count("*").alias("records"), F.min("year").alias("min_year"),
+         F.max("year").alias("max_year")],
+    )
 
 
-def business_key_dups(df: DataFrame, key: Sequence[str]) -> DataFrame:
+def business_key_dups(df: DataFrame, key: Sequence[str], ordered: bool = True) -> DataFrame:
     """Keys that occur more than once, the most frequent first."""
     counted = df.groupBy(*key).agg(F.count("*").alias("cnt")).filter("cnt > 1")
-    return counted.orderBy(F.col("cnt").desc(), *key)
+    return counted.orderBy(F.col("cnt").desc(), *key) if ordered else counted
 
 
 def top_emitters(
