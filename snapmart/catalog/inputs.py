@@ -12,6 +12,7 @@ from snapmart.operators.marts import mart_summary
 from snapmart.session import scratch_path
 from snapmart.sources.landed import calendar_flags
 from snapmart.tables.layout import cluster_layout
+from snapmart.tables.store import shaped
 
 # Event types as record types.
 RECORD_TYPE_OF = {
@@ -108,7 +109,7 @@ def afternoon(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staging_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[f.name for f in schemas.STAGING])
+    return shaped(df, schemas.STAGING)
 
 
 def lagging_mart(staged: DataFrame) -> DataFrame:

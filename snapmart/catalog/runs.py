@@ -202,6 +202,48 @@ def batch_run_aside(spark: SparkSession, sf: str) -> DataFrame:
     return _aside(spark, cfg, done["extracted"])
 
 
+@query(
+    "batch_run_types",
+    f"""SELECT record_type, CASE WHEN record_type LIKE 'EF%' THEN 'About ' || record_type
+    ELSE record_type END AS record_type_description, CAST(count(*) AS BIGINT) AS n
+    FROM ({loaded_sql(2005, 2012)}) AS l GROUP BY record_type""",
+)
+def batch_run_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts with the descriptions that landed beside them; of two for a type the first counts."""
+    kinds = scratch_path(spark, "types")
+    known = I.facts(spark, sf).filter("record_type LIKE 'EF%'").select("record_type").distinct()
+    entry = F.struct(F.col("record_type").alias("record"), F.concat(F.lit("About "), "record_type").alias("name"))
+    second = F.struct(F.col("record_type").alias("record"), F.lit("Second").alias("name"))
+    line = F.to_json(F.struct(F.array(entry, second).alias("record_types")))
+    known.select(line.alias("value")).write.text(kinds)
+    cfg = replace(_config(spark, sf, 2005, 2012), types_landing=kinds)
+    _ran(batch.batch_run(spark, cfg))
+    rows = store.read_table(spark, cfg.fact("main"))
+    return rows.groupBy("record_type", "record_type_description").agg(F.count("*").alias("n"))
+
+
+_MEASURED = """SELECT 'null_country_codes' AS metric_name, 0::DOUBLE AS metric_value, 'PASS' AS status
+    UNION ALL SELECT 'duplicate_records', 0::DOUBLE, 'PASS'
+    UNION ALL SELECT 'negative_values', n::DOUBLE, CASE WHEN n > 0 THEN 'WARNING' ELSE 'PASS' END
+      FROM (SELECT count(*) FILTER (WHERE value < 0 OR carbon < 0) AS n FROM l) AS c"""
+
+
+@query(
+    "quality_metrics_table",
+    f"""WITH l AS ({loaded_sql(2005, 2012)})
+    SELECT metric_name, metric_value, status, 2::BIGINT AS runs FROM ({_MEASURED}) AS m""",
+)
+def quality_metrics_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics appended by a run and by a later check of the same table, read back."""
+    cfg = replace(_config(spark, sf, 2005, 2012), measure=True)
+    _ran(batch.batch_run(spark, cfg))
+    batch.measure(spark, replace(cfg, at=datetime(2024, 2, 1)), "main")
+    names = ["null_country_codes", "duplicate_records", "negative_values"]
+    found = batch.read_quality(spark, cfg).filter(F.col("metric_name").isin(names))
+    found = found.groupBy("metric_name", "metric_value", "status")
+    return found.agg(F.count_distinct("check_timestamp").alias("runs"))
+
+
 @query("direct_run", loaded_sql(2005, 2015))
 def direct_run(spark: SparkSession, sf: str) -> DataFrame:
     cfg = _config(spark, sf, 2005, 2015)

@@ -208,6 +208,28 @@ def load_merge(spark: SparkSession, sf: str) -> DataFrame:
     return store.read_table(spark, table).select(*_STORED)
 
 
+@query(
+    "load_merge_evolved",
+    sql(
+        """SELECT coalesce(a.country_code, m.country_code) AS country_code,
+        coalesce(a.year, m.year) AS year, coalesce(a.record_type, m.record_type) AS record_type,
+        CASE WHEN a.event_id IS NULL THEN m.value ELSE a.value END AS value, a.score AS origin
+        FROM morning AS m FULL JOIN afternoon AS a ON m.country_code = a.country_code
+          AND m.year = a.year AND m.record_type = a.record_type""",
+        "morning",
+        "afternoon",
+    ),
+)
+def load_merge_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """A column that only the second load has: rows of the first have none."""
+    target, source = I.morning(spark, sf), I.afternoon(spark, sf)
+    names = [*schemas.FACT_KEY, "value"]
+    table = store.fact_table(scratch_path(spark, "evolved"), target.select(*names).schema)
+    store.load_replace(target.select(*names), table)
+    store.load_merge(source.select(*names, F.col("score").alias("origin")), table, evolve=True)
+    return store.read_table(spark, table, evolved=True)
+
+
 @query(
     "merge_into_table",
     sql(f"SELECT {', '.join(_STORED)} FROM ({merge_sql(NEWER)}) AS merged", "morning", "afternoon"),

@@ -10,24 +10,28 @@ import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart import schemas
-from snapmart.functions import is_missing, safe_long, whole_number
+from snapmart.functions import coalesce_names, is_missing, safe_long, whole_number
 from snapmart.operators import clean, dedupe
-from snapmart.quality import preload
+from snapmart.operators.lookups import describe_types
+from snapmart.operators.merge import merge
+from snapmart.quality import postload, preload
 from snapmart.sources.landed import (
     CORRUPT,
     INPUT_ORDER,
     flatten_documents,
     in_years,
+    landed_fields,
     landed_schema,
     read_documents,
     read_records,
+    record_fields,
 )
 from snapmart.tables import state as S
 from snapmart.tables import store, zones
@@ -66,6 +70,9 @@ class RunConfig:
     """One batch run: where files land, where tables live, what to load.
 
     ``layout`` is 'records' (a record per line), 'lines' (a document per line) or 'files'.
+    Countries and record types lie in landings of their own or in the envelopes of the facts.
+    ``evolve`` keeps landed fields that no schema names; ``measure`` runs the checks that follow a
+    load and appends their metrics.
     """
 
     landing: str
@@ -74,6 +81,7 @@ class RunConfig:
     end_year: int
     job: str = "facts"
     countries_landing: str | None = None
+    types_landing: str | None = None
     layout: str = "lines"
     targets: Sequence[str] = ("main",)
     record_types: Sequence[str] | None = None
@@ -83,6 +91,8 @@ class RunConfig:
     enforce_contract: bool = False
     full_refresh: bool = False
     state_mode: str = "requested"
+    evolve: bool = False
+    measure: bool = False
     definitions: Mapping[str, Mapping] = field(
         default_factory=lambda: preload.DEFAULT_DEFINITIONS
     )
@@ -105,6 +115,13 @@ class RunConfig:
     def state_path(self) -> str:
         return f"{self.root}/_state"
 
+    def mart(self, target: str) -> store.Table:
+        return store.mart_table(f"{self.root}/{target}/mart")
+
+    @property
+    def quality_path(self) -> str:
+        return f"{self.root}/_quality"
+
     @property
     def log_path(self) -> str:
         return f"{self.root}/_runs"
@@ -124,29 +141,36 @@ TRANSFORMED = T.StructType(
 TYPE_ROWS = schemas._struct({"record_type": schemas.TEXT}, {"description": schemas.TEXT})
 
 
-def read_raw_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """A raw snapshot with its fields as text and its input order.
+def read_raw_snapshot(spark: SparkSession, path: str, extra: Sequence[str] = ()) -> DataFrame:
+    """A raw snapshot with its fields, and the ``extra`` ones, as text and its input order.
 
     The snapshot holds text that did not parse in a column of its own, which is data here.
     """
-    reader = spark.read.schema(landed_schema()).option("columnNameOfCorruptRecord", "_unread")
+    schema = landed_schema()
+    for name in extra:
+        schema = schema.add(name, T.StringType())
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "_unread")
     return reader.json(path)
 
 
-def staging_rows(facts: DataFrame, at) -> DataFrame:
-    """Facts with every staging column, stamped with load and update time."""
+def staging_rows(facts: DataFrame, at, extra: Sequence[str] = ()) -> DataFrame:
+    """Facts with every staging column and the extra ones, stamped with load and update time."""
     stamp = literal(at)
     rows = facts.withColumns({"_loaded_at": stamp, "_updated_at": stamp})
-    return store.shaped(rows, schemas.STAGING)
+    more = [T.StructField(n, T.StringType()) for n in extra]
+    return store.shaped(rows, T.StructType([*schemas.STAGING, *more]))
 
 
-def _landed_facts(spark: SparkSession, cfg: RunConfig, window: tuple[int, int]) -> DataFrame:
+def _landed_facts(
+    spark: SparkSession, cfg: RunConfig, window: tuple[int, int], extra: Sequence[str] = ()
+) -> DataFrame:
     """Landed rows of the window and of the types asked for; rows without them are kept aside
     later, so they stay here. The same rows for every layout."""
     if cfg.layout == "records":
-        rows = read_records(spark, cfg.landing, years=window)
+        rows = read_records(spark, cfg.landing, years=window, extra=extra)
     else:
-        rows = flatten_documents(read_documents(spark, cfg.landing, cfg.layout, years=window))
+        docs = read_documents(spark, cfg.landing, cfg.layout, years=window)
+        rows = flatten_documents(docs, fields=[*record_fields(), *extra])
         rows = rows.filter(in_years(F.col("year"), window))
     if cfg.record_types is None:
         return rows
@@ -168,9 +192,49 @@ def _landed_countries(
     return rows.filter(F.col(CORRUPT).isNull())
 
 
-def _typed_facts(landed: DataFrame, at: datetime, window: tuple[int, int]) -> DataFrame:
+def _new_fields(spark: SparkSession, cfg: RunConfig, window: tuple[int, int]) -> list[str]:
+    """Names of landed fields that no schema knows, where the run keeps them."""
+    if not cfg.evolve:
+        return []
+    layout = "lines" if cfg.layout == "records" else cfg.layout
+    docs = read_documents(spark, cfg.landing, layout, years=window)
+    known = {n.lower() for n in [*record_fields(), *schemas.STAGING.names, *INPUT_ORDER]}
+    return [n for n in landed_fields(docs) if n.lower() not in known]
+
+
+def _landed_types(
+    spark: SparkSession, cfg: RunConfig, window: tuple[int, int]
+) -> DataFrame | None:
+    """(record_type, description) from what landed; of several for a type the first."""
+    own = cfg.types_landing is not None
+    if cfg.layout == "records":
+        if not own:
+            return None
+        rows = read_records(spark, cfg.types_landing, "record_types")
+    else:
+        docs = read_documents(spark, cfg.types_landing or cfg.landing, cfg.layout,
+                              years=None if own else window)
+        rows = flatten_documents(docs, "record_types", bare=own)
+    named = rows.select(
+        coalesce_names(rows, ["record_type", "record"]).alias("record_type"),
+        coalesce_names(rows, ["description", "name"]).alias("description"),
+        F.struct(*INPUT_ORDER).alias("place"),
+    ).filter("record_type <> '' AND description <> ''")
+    return named.groupBy("record_type").agg(F.min_by("description", "place").alias("description"))
+
+
+def _described(facts: DataFrame, types: DataFrame | None) -> DataFrame:
+    """With the description of each type; a type without one describes itself."""
+    if types is None:
+        return facts.withColumn("record_type_description", F.col("record_type"))
+    return describe_types(facts, types)
+
+
+def _typed_facts(
+    landed: DataFrame, at: datetime, window: tuple[int, int], extra: Sequence[str] = ()
+) -> DataFrame:
     parsed = landed.filter(F.col(CORRUPT).isNull())
-    facts = clean.normalise_records(parsed, at, keep=INPUT_ORDER)
+    facts = clean.normalise_records(parsed, at, keep=[*INPUT_ORDER, *extra])
     return facts.filter(F.col("year").between(*window))
 
 
@@ -221,26 +285,71 @@ def _put_aside(landed: DataFrame, people: DataFrame, root: str, name: str) -> di
 
 
 def _types_of(facts: DataFrame) -> DataFrame:
-    return facts.select("record_type", F.col("record_type").alias("description")).distinct()
+    """Each type with its description; that of a type that describes itself gives way."""
+    return facts.groupBy("record_type").agg(
+        F.max_by(
+            "record_type_description", F.col("record_type_description") != F.col("record_type")
+        ).alias("description")
+    )
+
+
+def _merge_types(target: DataFrame, source: DataFrame, **options) -> DataFrame:
+    """Types of earlier loads stay, and no description is replaced by the bare type."""
+    options.pop("as_of", None)
+    return merge(
+        target, source, ["record_type"], lambda t, s: s("description") != s("record_type"), **options
+    )
 
 
 def _load(
-    cfg: RunConfig, target: str, facts: DataFrame, countries: DataFrame, replace_countries: bool
-) -> dict[str, object]:
-    at = cfg.now()
-    rows = staging_rows(facts, at)
+    cfg: RunConfig, target: str, facts: DataFrame, countries: DataFrame, replace_countries: bool,
+    extra: Sequence[str] = (),
+) -> dict[str, object]:
+    at, spark = cfg.now(), facts.sparkSession
+    rows = staging_rows(facts, at, extra)
     people = countries.select(*[f.name for f in COUNTRY_ROWS])
+    changes = []
+    if cfg.evolve:
+        before = store.read_table(spark, cfg.fact(target), evolved=True).schema
+        changes = clean.schema_changes(before, rows.schema)
     if cfg.full_refresh:
         store.load_replace(rows, cfg.fact(target))
         counts = {"replaced": True}
     else:
-        counts = store.load_merge(rows, cfg.fact(target), literal(at))
+        counts = store.load_merge(
+            rows, cfg.fact(target), literal(at), order=["transformed_at"], evolve=cfg.evolve
+        )
     if cfg.full_refresh or replace_countries:
         store.load_replace(people, cfg.countries(target))
     else:
         store.load_merge(people, cfg.countries(target))
-    store.load_replace(_types_of(facts), cfg.types(target))
-    return counts
+    store.apply_merge(spark, cfg.types(target), _types_of(facts), _merge_types)
+    return {**counts, "schema_changes": changes} if cfg.evolve else counts
+
+
+def measure(spark: SparkSession, cfg: RunConfig, target: str) -> DataFrame:
+    """Run the checks that follow a load on a target's stored tables and append their metrics."""
+    at = literal(cfg.now())
+    facts = store.read_table(spark, cfg.fact(target))
+    mart = store.read_table(spark, cfg.mart(target))
+    found = postload.run_postload(facts, target, at).withColumn("check_timestamp", at)
+    found = found.unionByName(postload.sq_metrics(facts, mart, at))
+    store.shaped(found, schemas.QUALITY_METRICS).write.mode("append").parquet(cfg.quality_path)
+    return read_quality(spark, cfg).filter(F.col("check_timestamp") == at)
+
+
+def read_quality(spark: SparkSession, cfg: RunConfig) -> DataFrame:
+    """All metrics that runs below the root have appended."""
+    return spark.read.schema(schemas.QUALITY_METRICS).parquet(cfg.quality_path)
+
+
+def tidy(spark: SparkSession, cfg: RunConfig, as_of: date, keep_versions: int = 2) -> list[str]:
+    """Delete copies past their retention and table versions nobody reads any more."""
+    gone = [p for z in schemas.RETENTION_DAYS for p in zones.expire_partitions(spark, cfg.root, z, as_of)]
+    for target in cfg.targets:
+        for table in (cfg.fact(target), cfg.countries(target), cfg.types(target), cfg.mart(target)):
+            gone += store.expire_versions(spark, table, keep_versions)
+    return gone
 
 
 def _window(spark: SparkSession, cfg: RunConfig) -> tuple[int, int]:
@@ -279,24 +388,28 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
     run, at = _Run(spark, cfg), cfg.now()
     try:
         window = _window(spark, cfg)
-        raw = zones.write_raw_snapshot(_landed_facts(spark, cfg, window), cfg.root, at)
+        extra = _new_fields(spark, cfg, window)
+        raw = zones.write_raw_snapshot(_landed_facts(spark, cfg, window, extra), cfg.root, at)
         run.metrics.update(window=window, raw_path=raw["path"], extracted=raw["record_count"])
         run.log("EXTRACT", "SUCCESS", records=raw["record_count"], source_file=raw["path"])
         if not raw["record_count"]:
             return run.end("no_data")
 
-        landed = read_raw_snapshot(spark, raw["path"])
+        landed = read_raw_snapshot(spark, raw["path"], extra)
         people = _landed_countries(spark, cfg, window)
         run.metrics.update(_put_aside(landed, people, cfg.root, zones.snapshot_name(at)))
         countries = _typed_countries(people, at)
-        facts = _typed_facts(landed, at, window)
+        facts = _typed_facts(landed, at, window, extra)
         countries, facts = transform_batch(countries, facts, at)
+        facts = _described(facts, _landed_types(spark, cfg, window))
         if cfg.enforce_contract:
             facts, broken = clean.contract_enforce(facts, schemas.FACT)
-            broken.write.mode("errorifexists").parquet(f"{cfg.root}/failed/contract={run.id}")
+            broken.write.mode("errorifexists").parquet(
+                f"{cfg.root}/failed/contract={zones.snapshot_name(at)}_{run.id}"
+            )
         # Written first: the checks and the loads read the stored copies.
         staged = zones.write_staged(facts, cfg.root, at)
-        stored = zones.read_staged(spark, cfg.root, staged["snapshot"])
+        stored = zones.read_staged(spark, cfg.root, staged["snapshot"], facts.schema)
         countries = materialise(countries)
         run.metrics.update(staged_path=staged["path"], valid=staged["record_count"])
         run.log("TRANSFORM", "SUCCESS", records=staged["record_count"])
@@ -314,7 +427,7 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
 
         results = store.multi_target(
             stored,
-            {t: lambda df, t=t: _load(cfg, t, df, countries, False) for t in cfg.targets},
+            {t: lambda df, t=t: _load(cfg, t, df, countries, False, extra) for t in cfg.targets},
         )
         run.metrics["loaded"] = {r["target"]: r for r in results}
         failed = [r for r in results if r["status"] == "failed"]
@@ -323,6 +436,10 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
         if failed:
             return run.end("failed")
 
+        if cfg.measure:
+            bad = [measure(spark, cfg, t).filter("status = 'FAIL'").count() for t in cfg.targets]
+            run.metrics["postload_failures"] = sum(bad)
+            run.log("MEASURE", "WARNING" if sum(bad) else "SUCCESS")
         last = window[1]
         if cfg.state_mode == "observed":
             last = S.observed_last_year(stored, window[1])
@@ -343,15 +460,18 @@ def direct_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
     Returns the counts of each target, and how many rows were put aside.
     """
     at, window = cfg.now(), (cfg.start_year, cfg.end_year)
-    landed, people = _landed_facts(spark, cfg, window), _landed_countries(spark, cfg, window)
+    extra = _new_fields(spark, cfg, window)
+    landed = _landed_facts(spark, cfg, window, extra)
+    people = _landed_countries(spark, cfg, window)
     aside = _put_aside(landed, people, cfg.root, f"{zones.snapshot_name(at)}_{uuid.uuid4().hex[:8]}")
-    facts = _typed_facts(landed, at, window)
+    facts = _typed_facts(landed, at, window, extra)
     facts = dedupe.dedupe_first(clean.require_fields(facts), schemas.FACT_KEY, INPUT_ORDER)
+    facts = _described(facts, _landed_types(spark, cfg, window))
     countries = dedupe.dedupe_countries(_typed_countries(people, at), INPUT_ORDER).withColumn(
         "transformed_at", F.lit(None).cast("timestamp_ntz")
     )
     facts = materialise(facts)
-    return {**{t: _load(cfg, t, facts, countries, True) for t in cfg.targets}, **aside}
+    return {**{t: _load(cfg, t, facts, countries, True, extra) for t in cfg.targets}, **aside}
 
 
 def extract_stage(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:

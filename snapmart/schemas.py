@@ -100,6 +100,7 @@ STAGING = _struct(
         **{m: DOUBLE for m in MEASURES},
         "score": TEXT,
         "carbon_pct_of_total": DOUBLE,
+        "record_type_description": TEXT,
         "extracted_at": STAMP,
         "transformed_at": STAMP,
         "_loaded_at": STAMP,
@@ -224,6 +225,7 @@ RECORD_TYPE_ROWS = [
     ("BiocapPerCap", "Biocapacity per Capita", "biocapacity", True, "gha per person"),
 ]
 
-# Years accepted by the checks, and days a zone is kept.
+# Years accepted by the checks, and days a zone is kept. Staged and transformed copies
+# are processed ones.
 YEAR_MIN, YEAR_MAX = 1960, 2030
-RETENTION_DAYS = {"raw": 90, "processed": 30, "failed": 180}
+RETENTION_DAYS = {"raw": 90, "processed": 30, "staged": 30, "transformed": 30, "failed": 180}

@@ -36,7 +36,8 @@ def _texts(fields: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType()) for f in fields])
 
 
-def _record_fields(section: str) -> list[str]:
+def record_fields(section: str = "footprint_data") -> list[str]:
+    """Fields of a landed record that the schemas know, under old and new names."""
     raw = {
         "footprint_data": list(schemas.RECORD_FIELDS.values()) + list(schemas.RECORD_FIELDS),
         "countries": list(schemas.COUNTRY_FIELDS.values()) + list(schemas.COUNTRY_FIELDS),
@@ -50,7 +51,7 @@ def landed_schema(section: str = "footprint_data") -> T.StructType:
     """Landed fields as text, with the order columns: the shape of a raw snapshot."""
     text, number = T.StringType(), T.LongType()
     order = {SOURCE: text, BLOCK: number, SEQ: number, ROW: number, CORRUPT: text}
-    schema = _texts(_record_fields(section))
+    schema = _texts(record_fields(section))
     for name, kind in order.items():
         schema = schema.add(name, kind)
     return schema
@@ -91,7 +92,7 @@ def flatten_documents(
     A document is an envelope or, unless ``bare`` is off, a bare array of records or one record.
     One that does not parse stays as a row of nulls with its text in the corrupt column.
     """
-    record = _texts(list(fields) if fields is not None else _record_fields(section))
+    record = _texts(list(fields) if fields is not None else record_fields(section))
     whole = T.StructType([*record.fields, T.StructField(section, T.ArrayType(record))])
     whole = T.StructType([*whole.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -126,18 +127,32 @@ def flatten_documents(
     )
 
 
+def landed_fields(docs: DataFrame, section: str = "footprint_data") -> list[str]:
+    """Names of all fields that records of a section have, in any document form."""
+    text = F.col("document")
+    records = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+    array = F.when(F.ltrim(text).startswith("["), F.from_json(text, records))
+    inside = F.from_json(text, T.StructType([T.StructField(section, records)]))[section]
+    own = F.when(inside.isNull() & array.isNull(), F.json_object_keys(text))
+    nested = F.transform(F.coalesce(array, inside), lambda r: F.map_keys(r))
+    names = F.coalesce(F.array_distinct(F.flatten(nested)), own)
+    found = docs.select(F.explode(names).alias("name")).distinct().collect()
+    return sorted(r["name"] for r in found)
+
+
 def read_records(
     spark: SparkSession,
     path: str,
     section: str = "footprint_data",
     years: tuple[int, int] | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """JSON Lines of single records, by Spark's own JSON reader: the fastest way in.
 
     Same columns as ``flatten_documents``. Where files lie in ``year=`` folders, the folder is the
     year of its rows, and folders of other ``years`` are not read.
     """
-    fields = _record_fields(section)
+    fields = [*record_fields(section), *extra]
     schema = _texts([*fields, CORRUPT])
     rows = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
     if years is not None:

@@ -7,6 +7,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.tables.layout import literal
@@ -49,10 +50,17 @@ def write_staged(df: DataFrame, root: str, at: datetime) -> dict[str, object]:
     return {"path": path, "snapshot": snapshot_name(at), "record_count": seen.get["records"]}
 
 
-def read_staged(spark: SparkSession, root: str, snapshot: str) -> DataFrame:
-    """The rows of one staged snapshot; only its folder is read."""
-    reader = spark.read.option("basePath", f"{root}/staged")
-    rows = reader.parquet(*list_folders(spark, f"{root}/staged/ingest_date=*/snapshot={snapshot}"))
+def read_staged(
+    spark: SparkSession, root: str, snapshot: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """The rows of one staged snapshot; only its folder is read.
+
+    A snapshot without rows has no folder and needs its ``schema`` named.
+    """
+    folders = list_folders(spark, f"{root}/staged/ingest_date=*/snapshot={snapshot}")
+    if not folders and schema is not None:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.option("basePath", f"{root}/staged").parquet(*folders)
     return rows.drop("ingest_date", "snapshot")
 
 
@@ -78,24 +86,36 @@ def write_transformed(df: DataFrame, source_path: str, at) -> dict[str, object]:
     return {"path": path, "source": source_path, "record_count": seen.get["records"]}
 
 
-def _folder_day(path: str) -> date | None:
-    found = re.search(r"year=(\d{4})/month=(\d{1,2})/day=(\d{1,2})$", path)
-    return date(*map(int, found.groups())) if found else None
+_DAY_FOLDERS = (
+    ("year=*/month=*/day=*", r"year=(\d{4})/month=(\d{1,2})/day=(\d{1,2})$"),
+    ("ingest_date=*", r"ingest_date=(\d{4})-(\d{2})-(\d{2})$"),
+    ("*=*_*", r"/(?:snapshot|countries|contract)=(\d{4})(\d{2})(\d{2})_[^/]*$"),
+)
+
+
+def _dated_folders(spark: SparkSession, path: str) -> list[tuple[str, date]]:
+    """Folders named after a day, a snapshot or an ingest date, with that day."""
+    out = []
+    for pattern, name in _DAY_FOLDERS:
+        for folder in list_folders(spark, f"{path}/{pattern}"):
+            found = re.search(name, folder)
+            if found:
+                out.append((folder, date(*map(int, found.groups()))))
+    return sorted(out)
 
 
 def expired_partitions(
     spark: SparkSession, root: str, zone: str, as_of: date, keep_days: int | None = None
 ) -> list[str]:
-    """Day folders of a zone older than its retention."""
+    """Folders of a zone older than its retention."""
     days = schemas.RETENTION_DAYS[zone] if keep_days is None else keep_days
     oldest = as_of - timedelta(days=days)
-    folders = list_folders(spark, f"{root}/{zone}/year=*/month=*/day=*")
-    return [p for p in folders if (d := _folder_day(p)) is not None and d < oldest]
+    return [p for p, day in _dated_folders(spark, f"{root}/{zone}") if day < oldest]
 
 
 def expire_partitions(
     spark: SparkSession, root: str, zone: str, as_of: date, keep_days: int | None = None
 ) -> list[str]:
-    """Delete the expired day folders of one zone below ``root``; returns what went."""
+    """Delete the expired folders of one zone below ``root``; returns what went."""
     expired = expired_partitions(spark, root, zone, as_of, keep_days)
     return [p for p in expired if delete_folder(spark, p)]

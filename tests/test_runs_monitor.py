@@ -258,3 +258,72 @@ def test_load_history_counts_good_and_bad(spark):
     assert rows(found, "file_name", "row_parsed", "error_count", "first_error_message", "status") == [
         ("a", 4, 2, "x", "PARTIALLY_LOADED"), ("b", 1, 0, None, "LOADED"), ("c", 1, 1, "z", "LOAD_FAILED"),
     ]
+
+
+TYPES = [{"code": "EF", "name": "Footprint", "record": "EFConsTotGHA"},
+         {"code": "EF2", "name": "Second name", "record": "EFConsTotGHA"}]
+
+
+@pytest.mark.parametrize("run", ["batch", "direct"])
+def test_descriptions_come_from_what_landed_and_stay(spark, path, run):
+    first = {**envelope(record(1, 2015, 1.0), record(1, 2015, 1.0, "BiocapTotGHA")), "record_types": TYPES}
+    put(f"{path}/land", "a.json", first)
+    cfg = config(path)
+    done = getattr(batch, f"{run}_run")(spark, cfg)
+    assert done.get("status", "success") == "success"
+    found = store.read_table(spark, cfg.fact("main"))
+    assert rows(found, "record_type", "record_type_description") == [
+        ("BiocapTotGHA", "BiocapTotGHA"), ("EFConsTotGHA", "Footprint"),
+    ]
+    # A later load without descriptions, of another type, keeps what is known.
+    put(f"{path}/land2", "a.json", envelope(record(1, 2016, 1.0), record(1, 2016, 1.0, "EFConsPerCap")))
+    batch.direct_run(spark, replace(cfg, landing=f"{path}/land2"))
+    assert rows(store.read_table(spark, cfg.types("main"))) == [
+        ("BiocapTotGHA", "BiocapTotGHA"), ("EFConsPerCap", "EFConsPerCap"), ("EFConsTotGHA", "Footprint"),
+    ]
+
+
+@pytest.mark.parametrize("layout", ["records", "lines"])
+def test_new_landed_fields_are_kept_and_reported(spark, path, layout):
+    put(f"{path}/land", "a.json", record(1, 2015, 1.0))
+    put(f"{path}/people", "a.json", {"countryCode": 1, "countryName": "A"})
+    cfg = config(path, layout=layout, evolve=True, countries_landing=f"{path}/people")
+    assert batch.batch_run(spark, cfg)["status"] == "success"
+    fresh = record(1, 2016, 2.0) | {"quality": "good"}
+    put(f"{path}/land", "b.json", fresh if layout == "records" else [fresh, record(2, 2016, 3.0)])
+    done = batch.batch_run(spark, replace(cfg, at=datetime(2024, 2, 1), job="again", start_year=2016))
+    assert done["status"] == "success"
+    assert done["loaded"]["main"]["result"]["schema_changes"] == [("quality", "added")]
+    found = store.read_table(spark, cfg.fact("main"), evolved=True)
+    kept = [(1, 2015, None), (1, 2016, "good")] + ([(2, 2016, None)] if layout == "lines" else [])
+    assert rows(found, "country_code", "year", "quality") == kept
+    assert "quality" not in store.read_table(spark, cfg.fact("main")).columns
+
+
+def test_metrics_are_appended_after_a_load(spark, path):
+    put(f"{path}/land", "a.json", envelope(record(1, 2015, 1.0)))
+    cfg = config(path, measure=True)
+    assert batch.batch_run(spark, cfg)["postload_failures"] > 0  # few countries and years
+    once = batch.read_quality(spark, cfg).count()
+    batch.measure(spark, replace(cfg, at=datetime(2024, 2, 1)), "main")
+    found = batch.read_quality(spark, cfg)
+    assert found.count() == 2 * once and found.select("check_timestamp").distinct().count() == 2
+    assert {"duplicate_records", "null_country_codes"} <= {r.metric_name for r in found.collect()}
+
+
+def test_retention_covers_what_runs_write(spark, path):
+    put(f"{path}/land", "a.json", envelope(record(1, 2015, 1.0), record(0, 2015, 1.0)), "{broken")
+    cfg = config(path, enforce_contract=True, check=False)
+    for day in (1, 2, 3):
+        done = batch.batch_run(spark, replace(cfg, at=datetime(2024, 1, day)))
+        assert done["status"] == "success", done
+    # Merges of no rows left folders that no version uses; nothing else is old enough.
+    early = batch.tidy(spark, cfg, datetime(2024, 1, 20).date(), keep_versions=9)
+    assert all(p.startswith("g=") for p in early)
+    gone = batch.tidy(spark, cfg, datetime(2024, 2, 5).date(), keep_versions=1)
+    assert {p.split(cfg.root + "/")[1].split("/")[0] for p in gone if cfg.root in p} == {"staged"}
+    assert any(p.startswith("g=") for p in gone) and len(loaded(spark, cfg)) == 1
+    assert batch.tidy(spark, cfg, datetime(2030, 1, 1).date()) != []
+    for zone in ("raw", "failed", "staged"):
+        assert not [n for n in os.listdir(f"{cfg.root}/{zone}") if "=" in n]
+    assert len(loaded(spark, cfg)) == 1
