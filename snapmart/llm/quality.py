@@ -114,15 +114,6 @@ def rules(f: dict[str, Column]) -> dict[str, Column]:
     }
 
 
-def _prepared(docs: DataFrame, text_col: str) -> DataFrame:
-    """row (all columns), text (never null), words and lines."""
-    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    out = docs.select(row, F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    return out.select(
-        "row", "text", words_of(F.col("text")).alias("words"), _lines(F.col("text")).alias("lines")
-    )
-
-
 def rule_order(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS) -> list[dict]:
     """Rules with their cost (seconds) and rejected share on a sample, best first.
 
@@ -131,8 +122,9 @@ def rule_order(docs: DataFrame, text_col: str = "text", rows: int = SAMPLE_ROWS)
     total = docs.count()
     taken = docs.select(text_col).sample(fraction=min(1.0, rows / max(total, 1)), seed=7)
     sample = stored(taken, "rule-sample").coalesce(1)
-    prepared = _prepared(sample, text_col)
-    conditions = rules(_features(F.col("text"), F.col("words"), F.col("lines"), REPEAT_WINDOW))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    prepared = sample.select(text.alias("t"), words_of(text).alias("w"), _lines(text).alias("l"))
+    conditions = rules(_features(F.col("t"), F.col("w"), F.col("l"), REPEAT_WINDOW))
     out = []
     for name, condition in conditions.items():
         query = prepared.agg(F.avg(condition.cast("int")).alias("share"))
@@ -152,6 +144,37 @@ def cascade(order: list[str], conditions: dict[str, Column]) -> Column:
     return out.otherwise(F.lit(None).cast("string"))
 
 
+def first_failed(text: Column, order: list[str]) -> Column:
+    """The cascade over the raw text, as one expression.
+
+    Words and lines are bound inside it: a filter on the result may be moved below any projection
+    and still splits the text once.
+    """
+    return let(
+        words_of(text),
+        lambda words: let(
+            _lines(text),
+            lambda lines: cascade(order, rules(_features(text, words, lines, REPEAT_WINDOW))),
+        ),
+    )
+
+
+def all_features(text: Column, order: list[str]) -> Column:
+    """Struct of all features and ``failed``; bound as in ``first_failed``."""
+
+    def with_verdict(f: Column) -> Column:
+        known = {n: f[n] for n in FEATURES}
+        return F.struct(
+            *[v.alias(n) for n, v in known.items()], cascade(order, rules(known)).alias("failed")
+        )
+
+    def features(words: Column, lines: Column) -> Column:
+        found = _features(text, words, lines, REPEAT_WINDOW)
+        return let(F.struct(*[v.alias(n) for n, v in found.items()]), with_verdict)
+
+    return let(words_of(text), lambda words: let(_lines(text), lambda lines: features(words, lines)))
+
+
 def judge(docs: DataFrame, text_col: str = "text", report: bool = False) -> DataFrame:
     """``row`` (struct of all columns) and ``failed``, the first rule that rejects it or null.
 
@@ -161,13 +184,11 @@ def judge(docs: DataFrame, text_col: str = "text", report: bool = False) -> Data
     nothing; an empty table gives an empty result; a text of any length is judged whole.
     """
     order = [r["rule"] for r in rule_order(docs, text_col)]
-    prepared = _prepared(docs, text_col)
-    lazy = _features(F.col("text"), F.col("words"), F.col("lines"), REPEAT_WINDOW)
-    if not report:
-        return prepared.select("row", cascade(order, rules(lazy)).alias("failed"))
-    found = prepared.select("row", *[v.alias(n) for n, v in lazy.items()])
-    known = {n: F.col(n) for n in FEATURES}
-    return found.withColumn("failed", cascade(order, rules(known)))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    if report:
+        return docs.select(row, all_features(text, order).alias("found")).select("row", "found.*")
+    return docs.select(row, first_failed(text, order).alias("failed"))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
