@@ -35,7 +35,7 @@ SKIP_STRENGTH = 6.0
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_DOTTED = re.compile(r"[0-9][0-9.]*")
 _NUMBER = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
@@ -72,14 +72,18 @@ def _emails(text: str) -> Iterator[Span]:
 
 
 def _addresses(text: str) -> Iterator[Span]:
-    """Every four numbers of a run joined by dots."""
-    for chain in _DOTTED.finditer(text):
-        numbers = list(_NUMBER.finditer(text, chain.start(), chain.end()))
-        for i in range(0, len(numbers) - 3, 4):
-            four = numbers[i : i + 4]
-            parts = [n.group().lstrip("0") for n in four]
-            if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
-                yield four[0].start(), four[3].end(), 1
+    """Every four numbers of a run joined by single dots; each run is looked at once."""
+    for run in _DOTTED.finditer(text):
+        chain: list[tuple[int, int]] = []
+        for number in _NUMBER.finditer(text, run.start(), run.end()):
+            if chain and number.start() != chain[-1][1] + 1:
+                chain = []
+            chain.append(number.span())
+            if len(chain) == 4:
+                parts = [text[a:b].lstrip("0") for a, b in chain]
+                if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
+                    yield chain[0][0], chain[3][1], 1
+                chain = []
 
 
 def base_spans(text: str) -> list[Span]:
@@ -315,11 +319,15 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def fitted(docs: DataFrame, text_col: str = "text", rows: int = FIT_ROWS) -> Model:
-    """The model fitted on the ``rows`` documents with a digit or @ whose hashes are smallest."""
-    text = docs[text_col].cast("string")
-    some = docs.select(text.alias("text")).where(F.col("text").rlike("[0-9@]"))
-    some = some.orderBy(F.xxhash64(F.lit("fit"), "text"), "text").limit(rows)
-    return fit([r["text"] for r in some.collect()])
+    """The model fitted on the ``rows`` different texts with a digit or @ whose hashes are
+    smallest. The hashes are compared first, so that only those texts reach the driver."""
+    some = docs.select(docs[text_col].cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
+    some = some.withColumn("h", F.xxhash64(F.lit("fit"), "text"))
+    last = some.select("h").distinct().orderBy("h").limit(rows).agg(F.max("h").alias("h")).first()["h"]
+    if last is None:
+        return fit([])
+    texts = some.where(F.col("h") <= last).dropDuplicates(["h"]).collect()
+    return fit([r["text"] for r in sorted(texts, key=lambda r: r["h"])])
 
 
 def _find(model: Model, sure: float):
