@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart import schemas
@@ -48,16 +49,18 @@ STANDARD_DEFINITIONS = {
 }
 
 
-def load_definitions(path: str) -> Mapping[str, Mapping]:
-    """Definitions from a YAML file; the defaults where there is no file."""
+def load_definitions(path: str, spark: SparkSession | None = None) -> Mapping[str, Mapping]:
+    """Definitions from a YAML file, read by Spark; the defaults where there is no file."""
     try:
         import yaml
     except ImportError as error:
         raise RuntimeError("reading definitions from a file needs the yaml module") from error
+    spark = spark or SparkSession.active()
     try:
-        with open(path) as text:
-            return yaml.safe_load(text)
-    except FileNotFoundError:
+        return yaml.safe_load(spark.read.text(path, wholetext=True).first()["value"])
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return DEFAULT_DEFINITIONS
 
 

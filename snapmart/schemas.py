@@ -190,18 +190,16 @@ QUALITY_METRICS = _struct(
 )
 
 # Record types the quality checks accept, in four families.
-VALID_RECORD_TYPES = (
-    "EFConsTotGHA EFProdTotGHA EFImportsTotGHA EFExportsTotGHA "
-    "EFConsPerCap EFProdPerCap EFImportsPerCap EFExportsPerCap "
-    "BiocapTotGHA BiocapPerCap AreaTotHA AreaPerCap "
-    "Population GDP-PPP GDP-USD HDI Earths "
-    "EFCtot EFCcrop EFCgraz EFCfrst EFCfish EFCbult EFCcarb "
-    "BioCaptot BioCapcrop BioCapgraz BioCapfrst BioCapfish BioCapbult "
-    "EFCtotPerCap EFCcropPerCap EFCgrazPerCap EFCfrstPerCap EFCfishPerCap EFCbultPerCap "
-    "EFCcarbPerCap "
-    "BioCaptotPerCap BioCapcropPerCap BioCapgrazPerCap BioCapfrstPerCap BioCapfishPerCap "
-    "BioCapbultPerCap"
-).split()
+VALID_RECORD_TYPES = [
+    "EFConsTotGHA", "EFProdTotGHA", "EFImportsTotGHA", "EFExportsTotGHA", "EFConsPerCap",
+    "EFProdPerCap", "EFImportsPerCap", "EFExportsPerCap", "BiocapTotGHA", "BiocapPerCap",
+    "AreaTotHA", "AreaPerCap", "Population", "GDP-PPP", "GDP-USD", "HDI", "Earths", "EFCtot",
+    "EFCcrop", "EFCgraz", "EFCfrst", "EFCfish", "EFCbult", "EFCcarb", "BioCaptot", "BioCapcrop",
+    "BioCapgraz", "BioCapfrst", "BioCapfish", "BioCapbult", "EFCtotPerCap", "EFCcropPerCap",
+    "EFCgrazPerCap", "EFCfrstPerCap", "EFCfishPerCap", "EFCbultPerCap", "EFCcarbPerCap",
+    "BioCaptotPerCap", "BioCapcropPerCap", "BioCapgrazPerCap", "BioCapfrstPerCap",
+    "BioCapfishPerCap", "BioCapbultPerCap",
+]
 
 VALID_CATEGORIES = ["ecological_footprint", "biocapacity"]
 

@@ -14,7 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
