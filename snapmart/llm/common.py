@@ -16,11 +16,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to a new table in the shared folder and read again: lineage ends here."""
-    path = scratch_path(df.sparkSession, f"llm-{label}")
+def stored(df: DataFrame, label: str, few: bool = False) -> DataFrame:
+    """``df`` written to a new table in the shared folder and read again: lineage ends here.
+
+    ``few`` is for tables much smaller than what they are made from, such as counts per key: an
+    eighth as many tasks write them, and as many files.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{label}")
+    if few:
+        df = df.coalesce(-(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def row_key(*columns: Column) -> tuple[Column, Column]:

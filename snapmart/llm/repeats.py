@@ -220,16 +220,17 @@ def repeated_windows(
         _stretch_rows(unit), SPAN + ", anchor int, core long, whole long"
     )
     found = stored(found, "stretches")
-    cores = found.groupBy("core").count().where("count > 1").select("core")
+    # Stored, so that both sides of the join have fresh exchanges and a hot core can be split.
+    cores = stored(found.groupBy("core").count().where("count > 1").select("core"), "cores", few=True)
     shared = stored(found.join(cores, "core", "left_semi"), "shared-cores")
 
     place = F.struct("k1", "k2", "first", "last", "anchor")
     kinds = shared.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(place).alias("at"))
-    kinds = stored(kinds, "stretch-kinds")
+    kinds = stored(kinds, "stretch-kinds", few=True)
     copies = shared.join(kinds.where("n > 1").select("core", "whole"), ["core", "whole"], "left_semi")
 
     mixed = kinds.groupBy("core").agg(F.count("*").alias("m")).where("m > 1")
-    edges = kinds.join(mixed, "core").select(
+    edges = kinds.join(stored(mixed, "mixed-cores", few=True), "core").select(
         "at.k1", "at.k2",
         F.struct("at.first", "at.last", "at.anchor", "core",
                  (F.col("n") == 1).alias("single"), (F.col("m") > crowd).alias("crowded"))
@@ -249,9 +250,10 @@ def repeated_windows(
         _window_hashes(unit, kind), "k1 long, k2 long, first int, h1 long, h2 long"
     )
     twice = single.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    crowded = single.join(twice, ["h1", "h2"], "left_semi").selectExpr(
-        "k1", "k2", "first", "first AS last"
-    )
+    # A merge join can cut a hot window's rows; after a broadcast they would stay together.
+    twice = stored(twice, "repeated-windows", few=True).hint("merge")
+    crowded = single.join(twice, ["h1", "h2"], "left_semi")
+    crowded = crowded.selectExpr("k1", "k2", "first", "first AS last")
     return copies.select("k1", "k2", "first", "last").union(usual).union(crowded)
 
 
