@@ -16,12 +16,12 @@ from snapmart.llm.common import stored
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    joined = both.where("b > a").join(stored(least, "least"), "a")
+    joined = both.where("b > a").join(stored(least, "least", few=True), "a")
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = stored(links.groupBy("a").agg(F.min("b").alias("m")), "least")
+    least = stored(links.groupBy("a").agg(F.min("b").alias("m")), "least", few=True)
     joined = links.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return joined.union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     when a round changes nothing, after about the logarithm of the longest path.
     """
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    current = stored(ordered.where("a <> b").distinct(), "links")
+    current = stored(ordered.where("a <> b").distinct(), "links", few=True)
     seen = None
     while True:
         state = current.agg(
@@ -42,6 +42,7 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(state) == seen or not state[0]:
             break
         seen = tuple(state)
-        current = stored(_small_star(stored(_large_star(current), "links")), "links")
+        larger = stored(_large_star(current), "links", few=True)
+        current = stored(_small_star(larger), "links", few=True)
     roots = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)

@@ -151,7 +151,11 @@ def _links(distance: int):
 def links(prints: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) that join every two fingerprints (column ``print``, each once) of at most
     ``distance`` differing bits, directly or through others of the same variant."""
-    rows = prints.select(F.lit(None).cast("long").alias("key"), F.col("print").alias("rest"), "print")
+    # Each fingerprint becomes 64 rows in its task, so they are dealt out evenly before.
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = prints.repartition(tasks, "print").select(
+        F.lit(None).cast("long").alias("key"), F.col("print").alias("rest"), "print"
+    )
     if distance > 3:
         raise ValueError("two segments with one wildcard each cover three bits at most")
     out = None
@@ -160,7 +164,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> Da
         last = width == 8
         sizes = rows.groupBy("key").count().where("count > 1")
         many = F.lit(False) if last else F.col("count") > crowd
-        sizes = stored(sizes.select("key", many.alias("crowded")), "variants")
+        sizes = stored(sizes.select("key", many.alias("crowded")), "variants", few=True)
         # A merge join at every size: broadcasting a small index would only hide how it grows.
         rows = rows.join(sizes.hint("merge"), "key")
         if not last:
@@ -191,14 +195,14 @@ def near_duplicates(
     other columns are not looked at; an empty table gives an empty result.
     """
     rows = stored(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    kinds = stored(rows.groupBy("print").agg(F.min("id").alias("id")), "fingerprint-kinds")
+    kinds = stored(rows.groupBy("print").agg(F.min("id").alias("id")), "fingerprint-kinds", few=True)
     roots = components(links(kinds, distance, crowd))
     groups = kinds.join(roots.withColumnRenamed("node", "print"), "print", "left").select(
         "print", "id", F.coalesce("root", "print").alias("root")
     )
     least = groups.groupBy("root").agg(F.min("id").alias("component_id"))
     named = groups.join(least, "root").select("print", "root", "component_id")
-    return rows.join(stored(named, "components"), "print").select(
+    return rows.join(stored(named, "components", few=True), "print").select(
         "k1", "k2", "id", "print", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
         "component_id", "root",
     )
