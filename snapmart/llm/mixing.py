@@ -22,7 +22,7 @@ EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 SEED = "mix-7"
 #: Documents a range of the hash holds on average.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 1_000
 
 
 def n_words(text: Column) -> Column:
@@ -64,7 +64,7 @@ def _goals(narrow: DataFrame, epochs: int, weights: tuple[int, ...], range_rows:
     """Per source: source_size, target, ranges, whole epochs and the words of the part (need)."""
     totals = stored(
         narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")),
-        "source-sizes",
+        "source-sizes", few=True,
     )
     ranges = totals.select(
         F.col("source").alias("s"),
@@ -95,15 +95,16 @@ def _cuts(narrow: DataFrame, goals: DataFrame) -> DataFrame:
     last = sums.withColumn("before", upto - F.col("range_size")).where(
         (F.col("before") < F.col("need")) & (F.col("need") <= F.col("before") + F.col("range_size"))
     )
-    last = stored(last.select(F.col("s").alias("s2"), F.col("r").alias("r2"), "before"), "cut-ranges")
+    last = last.select(F.col("s").alias("s2"), F.col("r").alias("r2"), F.col("need").alias("n2"), "before")
+    last = stored(last, "cut-ranges", few=True)
     inside = rows.join(last, F.col("s").eqNullSafe(F.col("s2")) & (F.col("r") == F.col("r2")))
     # Within the range, places in order; rows of one place are drawn together.
     upto = F.col("before") + F.sum("size").over(Window.partitionBy("s", "r").orderBy("place"))
     ends = inside.select("s", "need", "r", "place", upto.alias("upto"))
-    start = inside.select("s", "need", "r", F.lit("").alias("place"), F.col("before").alias("upto"))
+    start = last.select("s2", "n2", "r2", F.lit("").alias("place"), F.col("before").alias("upto"))
     best = F.min(F.struct(F.abs(F.col("upto") - F.col("need")).alias("off"), "place"))
     return (
-        ends.union(start.distinct()).groupBy("s", "r").agg(best.alias("best"))
+        ends.union(start).groupBy("s", "r").agg(best.alias("best"))
         .select(F.col("s").alias("s2"), F.col("r").alias("cut_range"),
                 F.col("best.place").alias("cut_place"))
     )
@@ -134,9 +135,9 @@ def mix(
         order.alias("place"),
     )
     narrow = stored(row.select("source", "size", "place"), "mix-sizes")
-    goals = stored(_goals(narrow, epochs, weights, range_rows), "mix-goals")
+    goals = stored(_goals(narrow, epochs, weights, range_rows), "mix-goals", few=True)
     cuts = goals.join(_cuts(narrow, goals), F.col("s").eqNullSafe(F.col("s2")), "left").drop("s2")
-    drawn = row.join(stored(cuts, "mix-cuts"), F.col("source").eqNullSafe(F.col("s")))
+    drawn = row.join(stored(cuts, "mix-cuts", few=True), F.col("source").eqNullSafe(F.col("s")))
     at = _range(F.col("place"), F.col("ranges"))
     again = (at < F.col("cut_range")) | (
         (at == F.col("cut_range")) & (F.col("place") <= F.col("cut_place"))
@@ -163,7 +164,8 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP3_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
-    CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS size,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS size,
     md5(concat_ws('|', 'mix-7', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, ''))))
       AS place
   FROM documents),
