@@ -82,7 +82,7 @@ def assignment(keys: DataFrame, shards: int, seed: int, part_rows: int) -> DataF
         F.shiftrightunsigned("order", 1), "order", "part", "place"
     )
     ranked = placed.withColumn("rank", F.row_number().over(within).cast("long") - 1)
-    joined = ranked.join(stored(starts, "shard-starts"), (F.col("shard") == F.col("s")) & (F.col("piece") == F.col("p")))
+    joined = ranked.join(stored(starts, "shard-starts", few=True), (F.col("shard") == F.col("s")) & (F.col("piece") == F.col("p")))
     return joined.select("k1", "k2", "shard", (F.col("start") + F.col("rank")).alias("slot"))
 
 
