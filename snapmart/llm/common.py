@@ -19,8 +19,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(df: DataFrame, label: str, few: bool = False) -> DataFrame:
     """``df`` written to a new table in the shared folder and read again: lineage ends here.
 
-    ``few`` is for tables much smaller than what they are made from, such as counts per key: an
-    eighth as many tasks write them, and as many files.
+    ``few`` is for small tables made from small ones: an eighth as many tasks write them, and as
+    many files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{label}")

@@ -221,12 +221,12 @@ def repeated_windows(
     )
     found = stored(found, "stretches")
     # Stored, so that both sides of the join have fresh exchanges and a hot core can be split.
-    cores = stored(found.groupBy("core").count().where("count > 1").select("core"), "cores", few=True)
+    cores = stored(found.groupBy("core").count().where("count > 1").select("core"), "cores")
     shared = stored(found.join(cores, "core", "left_semi"), "shared-cores")
 
     place = F.struct("k1", "k2", "first", "last", "anchor")
     kinds = shared.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(place).alias("at"))
-    kinds = stored(kinds, "stretch-kinds", few=True)
+    kinds = stored(kinds, "stretch-kinds")
     copies = shared.join(kinds.where("n > 1").select("core", "whole"), ["core", "whole"], "left_semi")
 
     mixed = kinds.groupBy("core").agg(F.count("*").alias("m")).where("m > 1")
