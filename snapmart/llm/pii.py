@@ -39,6 +39,8 @@ HARMLESS = (
     "2001-09-11T08:46:40", "#123", "x86-64",
 )
 HARMLESS_EVERY = 50
+#: Pairs of labels counted before any is seen; few pairs then say little.
+SMOOTHING = 5.0
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -109,6 +111,17 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
+def unsure_spans(text: str) -> list[Span2]:
+    """Matches that were dropped although long enough, such as two numbers side by side: whether
+    they hold personal data is not known, so the fit leaves their tokens out."""
+    out = [m.span() for m in _PHONE.finditer(text) if sum(map(str.isdigit, m.group())) > 15]
+    for m in _CARD.finditer(text):
+        digits = m.group().replace(" ", "").replace("-", "")
+        if len(digits) >= 12 and not (len(digits) <= 19 and luhn(digits)):
+            out.append(m.span())
+    return sorted(out)
+
+
 # Shapes of tokens. ----------------------------------------------------------------------------
 
 
@@ -215,7 +228,7 @@ class Model:
 
 def _chance(pairs: np.ndarray, labels: int) -> np.ndarray:
     """Log of how much oftener two labels meet than by chance, smoothed."""
-    counts = np.full((labels, labels), 0.5)
+    counts = np.full((labels, labels), SMOOTHING)
     np.add.at(counts, (pairs[:, 0], pairs[:, 1]), 1)
     counts += counts.T
     share = counts / counts.sum()
@@ -223,27 +236,36 @@ def _chance(pairs: np.ndarray, labels: int) -> np.ndarray:
     return np.log(share) - np.log(alone)[:, None] - np.log(alone)[None, :]
 
 
+def _sure(g: Graph, text: str) -> np.ndarray:
+    """Nodes whose label the patterns tell."""
+    unsure = unsure_spans(text)
+    return np.array(
+        [k != NONE or not any(a < e and s < b for s, e in unsure)
+         for (a, b), k in zip(g.spans, g.observed, strict=True)], dtype=bool,
+    )
+
+
 def fit(texts: list[str], rounds: int = 300, rate: float = 2.0, decay: float = 1e-3) -> Model:
     """Weights from texts labelled by the patterns, each piece of the field on its own."""
     plain = [f"and {word} of" for word in HARMLESS] * (1 + len(texts) // HARMLESS_EVERY)
-    graphs = [g for t in texts if (g := graph(t, base_spans(t))) is not None]
-    graphs += [graph(t, []) for t in plain] if graphs else []
+    graphs = [(g, _sure(g, t)) for t in texts if (g := graph(t, base_spans(t))) is not None]
+    graphs += [(g, np.ones(len(g.spans), bool)) for t in plain if (g := graph(t, []))] if graphs else []
     labels = NONE + 1
     if not graphs:
         features = len(shape("", "", ""))
         return Model(np.zeros((features, labels)), np.zeros((labels, labels)), np.zeros((labels, labels)))
-    x = np.concatenate([g.shapes for g in graphs])
-    y = np.eye(labels)[np.concatenate([g.observed for g in graphs])]
+    x = np.concatenate([g.shapes[sure] for g, sure in graphs])
+    y = np.eye(labels)[np.concatenate([g.observed[sure] for g, sure in graphs])]
     weights = np.zeros((x.shape[1], labels))
     for _ in range(rounds):
         score = x @ weights
         score = np.exp(score - score.max(axis=1, keepdims=True))
         score /= score.sum(axis=1, keepdims=True)
         weights -= rate * (x.T @ (score - y) / len(x) + decay * weights)
-    pairs = {
-        name: np.concatenate([g.observed[getattr(g, name)].reshape(-1, 2) for g in graphs])
-        for name in ("beside", "skip")
-    }
+    pairs = {}
+    for name in ("beside", "skip"):
+        known = [(g, e[sure[e].all(axis=1)]) for g, sure in graphs for e in [getattr(g, name)]]
+        pairs[name] = np.concatenate([g.observed[e].reshape(-1, 2) for g, e in known])
     skip = _chance(pairs["skip"], labels)
     skip[np.arange(NONE), np.arange(NONE)] = np.maximum(skip.diagonal()[:NONE], SKIP_STRENGTH)
     return Model(weights, _chance(pairs["beside"], labels), skip)
