@@ -36,6 +36,17 @@ def row_key(*columns: Column) -> tuple[Column, Column]:
     return F.xxhash64(mark, *columns), F.xxhash64(F.lit("second"), mark, *columns)
 
 
+def first_rows(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row for each root of ``found`` (k1, k2, id, root):
+    that of the smallest id (nulls last), of equal ids the one with the smaller key."""
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
+    best = found.groupBy("root").agg(F.min(place).alias("best")).select("best.k1", "best.k2")
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    k1, k2 = row_key(F.col(f"row.{id_col}"), F.col(f"row.{text_col}").cast("string"))
+    kept = row.select("row", k1.alias("k1"), k2.alias("k2")).join(best, ["k1", "k2"])
+    return kept.dropDuplicates(["k1", "k2"]).select("row.*")
+
+
 def slabs(texts: list[bytes], most: int = 300_000):
     """(from, to) of runs of texts of about ``most`` bytes; a longer text is a run of its own."""
     start = held = 0

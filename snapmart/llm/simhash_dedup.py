@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import documents, row_key, stored, utf8
+from snapmart.llm.common import documents, first_rows, row_key, stored, utf8
 from snapmart.llm.components import components
 
 WORDS = 3
@@ -212,12 +212,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The rows of ``docs``, all columns, with one row for each component: that of the smallest id
     (nulls last), of equal ids the one with the smaller key."""
     found = stored(near_duplicates(docs, id_col, text_col, **how), "near-duplicates")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "k1", "k2")
-    best = found.groupBy("root").agg(F.min(place).alias("best")).select("best.k1", "best.k2")
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    k1, k2 = row_key(F.col(f"row.{id_col}"), F.col(f"row.{text_col}").cast("string"))
-    kept = row.select("row", k1.alias("k1"), k2.alias("k2")).join(best, ["k1", "k2"])
-    return kept.dropDuplicates(["k1", "k2"]).select("row.*")
+    return first_rows(docs, found, id_col, text_col)
 
 
 def op4_simhash_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
