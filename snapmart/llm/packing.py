@@ -11,8 +11,11 @@ is linear and no task sees more than a group; each group may leave a few sequenc
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
+from functools import partial
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +39,22 @@ def vocabulary() -> str:
 
 
 def encoding(path: str):
-    """The encoder of a file of ranks, built once in each worker."""
+    """The encoder of a file of ranks, built once in each worker.
+
+    Tokens that the JSON form beside the file adds, as ``<|endoftext|>``, are its special tokens.
+    """
     if path not in _encodings:
         import public_tokenizers
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines)}
+        form, added = Path(path).with_suffix(".json"), {}
+        if form.exists():
+            tokens = json.loads(form.read_text(encoding="utf-8"))["added_tokens"]
+            added = {t["content"]: t["id"] for t in tokens}
         _encodings[path] = tiktoken.Encoding(
-            "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
         )
     return _encodings[path]
 
@@ -59,7 +69,8 @@ def cut(length: int, tokens: int = TOKENS) -> list[tuple[int, int]]:
 
 def _pieces(tokens: int, end: int, path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path).encode_ordinary
+        # The added tokens are recognised in texts, as by the JSON form.
+        encode = partial(encoding(path).encode, allowed_special="all")
         for batch in batches:
             texts = batch.column("text")
             for low in range(0, batch.num_rows, 500):

@@ -260,6 +260,21 @@ def test_few_sequences_are_used():
     assert sequence.max() + 1 <= 1.02 * lengths.sum() / 1024
 
 
+def test_added_tokens_in_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mark = "<|endoftext|>"
+    texts = [f"hello {mark} world", mark, mark * 3, f"a  {mark}  b\n{mark}\n\nc", f"<|{mark}|>", "<|endoftext"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in packing.pack_documents(docs, with_ids=True).collect()}
+    for i, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [2], dtype="<u4")
+        assert bytes(found[i]["ids"]) == ids.tobytes()
+        assert (found[i].length, found[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_packing_awkward_rows(spark):
     docs = awkward(spark)
     assert packing.pack_documents(docs).select("doc_id", "piece").count() >= len(awkward_rows())
