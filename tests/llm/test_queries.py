@@ -41,7 +41,7 @@ def test_query_agrees_with_sql(spark, con, name):
 
 
 def test_names_and_numbers():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert all("LIMIT" not in s.replace("LIMIT 1)", "") and "SAMPLE" not in s.upper() for s in SQL.values())
 
 
