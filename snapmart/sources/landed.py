@@ -205,7 +205,7 @@ def read_latest_snapshot(
 
     The folders are listed and only the one asked for is read.
     """
-    from snapmart.tables.store import list_folders
+    from snapmart.tables.versions import list_folders
 
     reader = spark.read.schema(schema) if schema is not None else spark.read
     reader = reader.option("basePath", path)

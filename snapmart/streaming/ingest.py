@@ -1,14 +1,18 @@
 """Files to landing table, landing table to staging, staging to mart.
 
 Every sink writes per micro-batch so that a batch delivered again has no further effect: the
-landing table overwrites the folder named after the batch, and a merge of rows that are already
-there changes nothing. Spark skips batches without data.
+landing table overwrites the folder named after the batch, and a merge commits under the name of its
+stream and the number of its batch. A table that holds the batch already is left alone, so a stream
+that stopped between the commits of staging and mart goes on with the mart, and the counts and the row
+of the run log stay those of the first delivery. Spark skips batches without data.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +24,9 @@ from snapmart.operators import merge as M
 from snapmart.operators.dedupe import dedupe_latest
 from snapmart.operators.marts import mart_summary_for
 from snapmart.sources.landed import BLOCK, CORRUPT, SEQ, SOURCE, flatten_documents
-from snapmart.tables import store
+from snapmart.tables import changes, store, versions
+from snapmart.tables.state import log_run, read_run_log
+from snapmart.tables.versions import Batch
 
 EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
 ALL_AVAILABLE = {"availableNow": True}
@@ -127,20 +133,26 @@ def insert_only(changes: DataFrame, action_col: str = "change_action") -> DataFr
 
 @dataclass(frozen=True)
 class Layers:
-    """The tables a merge stream keeps up to date."""
+    """The tables a merge stream keeps up to date, and the run log its batches are noted in."""
 
     staging: store.Table
     mart: store.Table | None = None
+    log_path: str | None = None
 
 
 def merge_batch(
-    batch: DataFrame, layers: Layers, as_of: Column | None = None
+    batch: DataFrame, layers: Layers, as_of: Column | None = None, mark: Batch | None = None
 ) -> dict[str, dict[str, int]]:
     """One batch into staging, newest row per key winning, then the mart of the touched keys.
 
-    Rows without a whole key stay in the landing table.
+    Rows without a whole key stay in the landing table. With a ``mark``, the stream and number of the
+    batch, each table takes it in once, however often it is delivered.
     """
     spark = batch.sparkSession
+    known = _held(spark, layers, mark)
+    if known is not None:
+        _note(spark, layers, mark, known)
+        return known
     now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else as_of
     rows = dedupe_latest(batch.dropna(subset=schemas.FACT_KEY))
     # The batch is written once; what follows reads the stored rows.
@@ -150,24 +162,57 @@ def merge_batch(
             return {}
         done = {
             "staging": store.merge_staged(
-                spark, layers.staging, staged, M.merge_newer_wins, as_of=now
+                spark, layers.staging, staged, M.merge_newer_wins, batch=mark, as_of=now
             )
         }
         if layers.mart is not None:
-            done["mart"] = refresh_mart(spark, layers, staged, now)
+            done["mart"] = refresh_mart(spark, layers, staged, now, mark)
+        _note(spark, layers, mark, done)
         return done
     finally:
         store.delete_folder(spark, staged.path)
 
 
+def _held(spark: SparkSession, layers: Layers, mark: Batch | None) -> dict[str, dict[str, int]] | None:
+    """The counts of a batch that every table holds already."""
+    if mark is None:
+        return None
+    found = {}
+    for name, table in (("staging", layers.staging), ("mart", layers.mart)):
+        if table is not None:
+            version = versions.current(spark, table.path)
+            if not version.holds(mark):
+                return None
+            found[name] = dict(version.batches[mark.stream].counts)
+    return found
+
+
+def _note(spark: SparkSession, layers: Layers, mark: Batch | None, done: dict[str, dict[str, int]]) -> None:
+    """A row of the run log for the batch, unless there is one."""
+    if mark is None or layers.log_path is None:
+        return
+    run = f"{mark.stream}/{mark.id}"
+    if not read_run_log(spark, layers.log_path).where(F.col("run_id") == run).isEmpty():
+        return
+    facts = {f"{name}_{k}": str(v) for name, counts in done.items() for k, v in counts.items()}
+    at = datetime.now(timezone.utc).replace(tzinfo=None)
+    records = sum(done["staging"].values()) if "staging" in done else 0
+    log_run(spark, layers.log_path, run, "MERGE", "SUCCESS", at, records=records, metadata=facts)
+
+
 def refresh_mart(
-    spark: SparkSession, layers: Layers, staged: store.Staged, as_of: Column
+    spark: SparkSession, layers: Layers, staged: store.Staged, as_of: Column, mark: Batch | None = None
 ) -> dict[str, int]:
     """Mart rows of the touched (country, year) keys from all their staging rows."""
     keys = staged.rows.select(*schemas.MART_KEY).distinct()
     staging = store.read_table(spark, layers.staging, partitions=staged.partitions)
     summary = mart_summary_for(staging, keys).withColumn("_updated_at", as_of)
-    return store.apply_merge(spark, layers.mart, summary, M.merge_mart, as_of=as_of)
+    return store.apply_merge(spark, layers.mart, summary, M.merge_mart, batch=mark, as_of=as_of)
+
+
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream of a checkpoint; a new checkpoint is a new stream."""
+    return json.loads(versions.text_of(spark, f"{checkpoint}/metadata"))["id"]
 
 
 def stream_merge(
@@ -178,16 +223,31 @@ def stream_merge(
     as_of: Column | None = None,
     on_done: Callable[[int, dict], None] | None = None,
 ) -> StreamingQuery:
-    """Merge each batch of a row stream into the layers."""
+    """Merge each batch of a row stream into the layers, once."""
+    spark = stream.sparkSession
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        done = merge_batch(insert_only(batch), layers, as_of)
+        mark = Batch(stream_name(spark, checkpoint), batch_id)
+        done = merge_batch(insert_only(batch), layers, as_of, mark)
         if on_done is not None:
             on_done(batch_id, done)
 
     return _start(stream, sink, checkpoint, trigger)
 
 
+def merge_changes(
+    spark: SparkSession, source: store.Table, layers: Layers, checkpoint: str,
+    trigger: dict | None = None, as_of: Column | None = None,
+) -> StreamingQuery:
+    """Merge what was inserted into or updated in a table, version by version, into the layers, once."""
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        newest = rows.where(F.col(changes.CHANGE) != changes.DELETE).drop(changes.CHANGE, changes.VERSION)
+        merge_batch(newest, layers, as_of, Batch(stream_name(spark, checkpoint), batch_id))
+
+    return changes.change_stream(spark, source, sink, checkpoint, trigger)
+
+
 def ingest_and_merge(
     spark: SparkSession,
     path: str,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart import schemas
-from snapmart.tables.store import list_folders
+from snapmart.tables.versions import list_folders
 
 
 def _literal(value, field: T.StructField) -> Column:

@@ -9,7 +9,9 @@ Partitions are told apart by the folder names that Spark itself chose, never by
 text here. Merges rewrite the partitions the source touches: the source is written once, partitioned
 like the table, and its folders say which ones these are.
 
-One writer per table is assumed; two that commit at once make the later one fail.
+Several writers may work on a table. An append is carried over whatever else was committed, a replace
+takes the place of it. A merge that finds its partitions changed since it read them runs again on the
+newest version; its source is stored by then, so only the target is read anew.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,15 +28,27 @@ from pyspark.sql import types as T
 from snapmart import schemas
 from snapmart.operators import merge as M
 from snapmart.operators.dedupe import dedupe_latest
+from snapmart.tables import versions
 from snapmart.tables.layout import literal, rebalanced
+from snapmart.tables.versions import (
+    MANIFESTS,
+    STAGE,
+    Batch,
+    Conflict,
+    Version,
+    children,
+    commit,
+    delete_folder,
+    handle_of,
+    list_folders,
+)
 
 #: A source within both is broadcast in a merge, on its rows counted and its files measured. Both
 #: ways give the same rows.
 SMALL_SOURCE_ROWS = 200_000
 SMALL_SOURCE_BYTES = 16 * 1024 * 1024
-MANIFESTS = "_manifest"
-STAGE = "_stage"
-END_LINE = "end"
+MERGE_ATTEMPTS = 5
+__all__ = ["MANIFESTS", "delete_folder", "list_folders"]
 
 
 @dataclass(frozen=True)
@@ -63,74 +78,11 @@ def mart_table(path: str) -> Table:
     return Table(path, schemas.MART, schemas.MART_KEY, "year", ["country_code"])
 
 
-# Files and manifests. -------------------------------------------------------------------------
-
-
-def _folder(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    handle = jvm.org.apache.hadoop.fs.Path(path)
-    return handle.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), handle
-
-
-def list_folders(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders matching a glob, in order; a metadata call only."""
-    fs, handle = _folder(spark, pattern)
-    return sorted(s.getPath().toString() for s in fs.globStatus(handle) or [])
-
-
-def delete_folder(spark: SparkSession, path: str) -> bool:
-    fs, handle = _folder(spark, path)
-    return fs.delete(handle, True)
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names of what lies in a folder; none if there is no such folder."""
-    fs, handle = _folder(spark, path)
-    if not fs.exists(handle):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(handle))
-
-
-def _text(spark: SparkSession, path: str) -> str:
-    fs, handle = _folder(spark, path)
-    stream = fs.open(handle)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def manifests(spark: SparkSession, table: Table) -> list[tuple[int, list[str]]]:
-    """Number and folders of every complete manifest, newest first, read as far as asked for."""
-    for name in sorted(_children(spark, f"{table.path}/{MANIFESTS}"), reverse=True):
-        lines = _text(spark, f"{table.path}/{MANIFESTS}/{name}").split("\n")
-        if lines and lines[-1] == f"{END_LINE} {len(lines) - 1}":
-            yield int(name), lines[:-1]
-
-
-def _current(spark: SparkSession, table: Table) -> list[str]:
-    return next((folders for _, folders in manifests(spark, table)), [])
-
-
-def _commit(spark: SparkSession, table: Table, folders: Sequence[str]) -> None:
-    """Make ``folders`` the table. Creating the file fails if another writer was first."""
-    taken = [int(n) for n in _children(spark, f"{table.path}/{MANIFESTS}")]
-    fs, handle = _folder(spark, f"{table.path}/{MANIFESTS}/{max(taken, default=0) + 1:08d}")
-    stream = fs.create(handle, False)
-    stream.write("\n".join([*folders, f"{END_LINE} {len(folders)}"]).encode())
-    stream.close()
-
-
-def expire_versions(spark: SparkSession, table: Table, keep: int = 2) -> list[str]:
-    """Delete the folders that none of the ``keep`` newest versions uses, and older manifests."""
-    versions = list(manifests(spark, table))
-    if not versions:
-        return []
-    used = {f.split("/")[0] for _, folders in versions[:keep] for f in folders}
-    old = [n for n in _children(spark, table.path) if n.startswith("g=") and n not in used]
-    for number, _ in versions[keep:]:
-        delete_folder(spark, f"{table.path}/{MANIFESTS}/{number:08d}")
-    return [n for n in old if delete_folder(spark, f"{table.path}/{n}")]
+def expire_versions(
+    spark: SparkSession, table: Table, keep: int = 2, grace_hours: float = 24, pinned: Sequence[int] = ()
+) -> list[str]:
+    """Delete what only older versions than the ``keep`` newest use; see ``versions.expire``."""
+    return versions.expire(spark, table.path, keep, grace_hours, pinned)
 
 
 # Reading and writing. -------------------------------------------------------------------------
@@ -174,36 +126,42 @@ def _read(spark: SparkSession, table: Table, folders: Sequence[str], evolved: bo
     return rows.select(*schema.names)
 
 
+def read_folders(spark: SparkSession, table: Table, folders: Sequence[str]) -> DataFrame:
+    """The rows of some of a table's folders, whether or not its newest version has them."""
+    return _read(spark, table, folders, False)
+
+
 def read_table(
     spark: SparkSession, table: Table, evolved: bool = False,
-    partitions: Sequence[str] | None = None,
+    partitions: Sequence[str] | None = None, version: Version | int | None = None,
 ) -> DataFrame:
     """The table as stored, or an empty frame of its schema.
 
     ``evolved`` also returns columns added by later loads, at the cost of reading footers.
-    ``partitions`` names the partition folders to read; no other is listed.
+    ``partitions`` names the partition folders to read; no other is listed. ``version`` is an older
+    state of the table, as long as it is kept.
     """
-    folders = _current(spark, table)
-    if partitions is not None and table.partition_by is not None:
-        wanted = set(partitions)
-        folders = [f for f in folders if f.split("/")[-1] in wanted]
-    return _read(spark, table, folders, evolved)
+    if isinstance(version, int):
+        version = versions.read_version(spark, table.path, version) if version else Version()
+    at = versions.current(spark, table.path) if version is None else version
+    wanted = at.of(partitions if table.partition_by is not None else None)
+    return _read(spark, table, [f for f in at.folders if f in wanted], evolved)
 
 
-def _write(df: DataFrame, table: Table, below: str) -> list[str]:
+def write(df: DataFrame, table: Table, below: str) -> list[str]:
     """Write below the table's path; returns the folders that hold rows, as Spark named them."""
     writer = df.write.mode("errorifexists")
     if table.partition_by is None:
         writer.parquet(f"{table.path}/{below}")
         return [below]
     writer.partitionBy(table.partition_by).parquet(f"{table.path}/{below}")
-    found = _children(df.sparkSession, f"{table.path}/{below}")
+    found = children(df.sparkSession, f"{table.path}/{below}")
     return [f"{below}/{n}" for n in found if n.startswith(f"{table.partition_by}=")]
 
 
-def _generation(spark: SparkSession, table: Table) -> str:
-    taken = [int(n) for n in _children(spark, f"{table.path}/{MANIFESTS}")]
-    return f"g={max(taken, default=0) + 1:08d}-{uuid.uuid4().hex[:8]}"
+def generation(spark: SparkSession, table: Table) -> str:
+    """A folder for what one writer adds; the number only says what was there when it began."""
+    return f"g={max(versions.numbers(spark, table.path), default=0) + 1:08d}-{uuid.uuid4().hex[:8]}"
 
 
 def _spread(df: DataFrame, table: Table) -> DataFrame:
@@ -214,18 +172,25 @@ def _sorted(df: DataFrame, table: Table) -> DataFrame:
     return df.sortWithinPartitions(table.partition_by, *table.sort_by)
 
 
-def load_append(df: DataFrame, table: Table, loaded_at) -> None:
-    """Add rows to a landing table, stamped with the load time."""
+def load_append(df: DataFrame, table: Table, loaded_at, batch: Batch | None = None) -> Version:
+    """Add rows to a landing table, stamped with the load time; a ``batch`` is added once."""
     spark = df.sparkSession
+    newest = versions.current(spark, table.path)
+    if newest.holds(batch):
+        return newest
     rows = df.withColumn("_loaded_at", literal(loaded_at))
-    added = _write(_spread(rows, table), table, _generation(spark, table))
-    _commit(spark, table, [*_current(spark, table), *added])
+    added = write(_spread(rows, table), table, generation(spark, table))
+    return commit(spark, table.path, added, versions.APPEND, batch=batch)
+
 
+def load_replace(df: DataFrame, table: Table, base: Version | None = None) -> Version:
+    """Put ``df`` in place of the whole table; the old rows stay readable until the commit.
 
-def load_replace(df: DataFrame, table: Table) -> None:
-    """Put ``df`` in place of the whole table; the old rows stay readable until the commit."""
+    With ``base``, the version ``df`` was made from, a table that has changed since is left alone.
+    """
     spark = df.sparkSession
-    _commit(spark, table, _write(_spread(df, table), table, _generation(spark, table)))
+    added = write(_spread(df, table), table, generation(spark, table))
+    return commit(spark, table.path, added, versions.REPLACE, base, partitions=None)
 
 
 @dataclass(frozen=True)
@@ -243,26 +208,40 @@ class Staged:
         return self.count <= SMALL_SOURCE_ROWS and self.file_bytes <= SMALL_SOURCE_BYTES
 
 
+def _places(df: DataFrame) -> dict[str, Column]:
+    """Columns that tell the order of the input.
+
+    Spark deals files to tasks by size, so over several files the number of a row in its task is no
+    order; with the file and the block, of which one task reads all, it is.
+    """
+    number = {"_at_row": F.monotonically_increasing_id()}
+    file = {"_at_file": F.col("_metadata.file_path"), "_at_block": F.col("_metadata.file_block_start")}
+    try:
+        df.select(*file.values())
+    except AnalysisException:  # not read from files, or joined and grouped since
+        return number
+    return {**file, **number}
+
+
 def stage(df: DataFrame, table: Table, order: Sequence[str] = (), conform: bool = True) -> Staged:
     """Write a source partitioned like the table, one row per key.
 
     Of repeated keys the row that is last by ``order`` stays; ``order`` empty means the order of
-    the input, in which the later row wins.
+    the input, in which the later row wins: by file name, place of the block in the file and row for
+    rows read from files, else by the order of Spark's partitions.
     """
     spark = df.sparkSession
     kinds = {f.name: f for f in table.schema}
     known = T.StructType([kinds[c] for c in df.columns if c in kinds])
-    rows = M.conformed(df, known) if conform else df
-    if order:
-        rows = dedupe_latest(rows, table.key, order)
-    else:
-        rows = rows.withColumn("_place", F.monotonically_increasing_id())
-        rows = dedupe_latest(rows, table.key, ["_place"]).drop("_place")
+    place = {} if order else _places(df)
+    rows = df.withColumns(place) if place else df
+    rows = M.conformed(rows, known) if conform else rows
+    rows = dedupe_latest(rows, table.key, order or list(place)).drop(*place)
     below, seen = f"{STAGE}/{uuid.uuid4().hex}", Observation()
     schema = _nullable(rows.schema)
-    folders = _write(rows.observe(seen, F.count("*").alias("rows")), table, below)
+    folders = write(rows.observe(seen, F.count("*").alias("rows")), table, below)
     path = f"{table.path}/{below}"
-    fs, handle = _folder(spark, path)
+    fs, handle = handle_of(spark, path)
     stored = spark.read.schema(schema).parquet(path) if folders else spark.createDataFrame([], schema)
     return Staged(
         stored.select(*schema.names), path,
@@ -273,36 +252,48 @@ def stage(df: DataFrame, table: Table, order: Sequence[str] = (), conform: bool
 
 def merge_staged(
     spark: SparkSession, table: Table, staged: Staged, how: Callable[..., DataFrame],
-    evolve: bool = False, **options,
+    evolve: bool = False, batch: Batch | None = None, **options,
 ) -> dict[str, int]:
     """Merge a staged source into the table and return the row counts, taken from the write.
 
+    Runs again if another writer has changed the same partitions meanwhile. A ``batch`` that the table
+    holds already is left alone, and its counts are returned.
+
     A small source leaves the target rows in the partitions they were read in, so they are sorted
     and written back without a shuffle. With ``evolve`` the table keeps columns it was never
     declared with: those of earlier loads and the new ones of this source.
     """
-    target = read_table(spark, table, evolve, staged.partitions)
-    if evolve:
-        new = {f.name: f.dataType for f in staged.rows.schema if f.name not in target.columns}
-        target = target.withColumns({n: F.lit(None).cast(k) for n, k in new.items()})
-    merged = how(target, staged.rows, small_source=staged.small, **options)
-    counts = Observation()
-    in_place = staged.small and table.partition_by is not None
-    spread = _sorted(merged, table) if in_place else _spread(merged, table)
-    rows = spread.observe(
-        counts,
-        *[
-            F.count_if(F.col(M.ACTION) == action).alias(name)
-            for action, name in ((M.INSERT, "inserted"), (M.UPDATE, "updated"), (M.KEEP, "unchanged"))
-        ],
-    )
-    written = _write(rows.drop(M.ACTION), table, _generation(spark, table))
-    kept: list[str] = []
-    if table.partition_by is not None:
-        touched = set(staged.partitions)
-        kept = [f for f in _current(spark, table) if f.split("/")[-1] not in touched]
-    _commit(spark, table, [*kept, *written])
-    return {"inserted": 0, "updated": 0, "unchanged": 0, **counts.get}
+    for attempt in range(MERGE_ATTEMPTS):
+        base = versions.current(spark, table.path)
+        if base.holds(batch):
+            return dict(base.batches[batch.stream].counts)
+        target = read_table(spark, table, evolve, staged.partitions, base)
+        if evolve:
+            new = {f.name: f.dataType for f in staged.rows.schema if f.name not in target.columns}
+            target = target.withColumns({n: F.lit(None).cast(k) for n, k in new.items()})
+        merged = how(target, staged.rows, small_source=staged.small, **options)
+        seen = Observation()
+        in_place = staged.small and table.partition_by is not None
+        spread = _sorted(merged, table) if in_place else _spread(merged, table)
+        rows = spread.observe(
+            seen,
+            *[
+                F.count_if(F.col(M.ACTION) == action).alias(name)
+                for action, name in ((M.INSERT, "inserted"), (M.UPDATE, "updated"), (M.KEEP, "unchanged"))
+            ],
+        )
+        below = generation(spark, table)
+        written = write(rows.drop(M.ACTION), table, below)
+        counts = {"inserted": 0, "updated": 0, "unchanged": 0, **seen.get}
+        note = batch and Batch(batch.stream, batch.id, counts)
+        try:
+            commit(spark, table.path, written, versions.MERGE, base, staged.partitions, batch=note)
+            return counts
+        except Conflict:
+            delete_folder(spark, f"{table.path}/{below}")
+            if attempt + 1 == MERGE_ATTEMPTS:
+                raise
+    raise AssertionError("unreachable")
 
 
 def apply_merge(
@@ -312,12 +303,13 @@ def apply_merge(
     how: Callable[..., DataFrame],
     order: Sequence[str] = (),
     evolve: bool = False,
+    batch: Batch | None = None,
     **options,
 ) -> dict[str, int]:
     """Merge ``source``, one row per key by ``order``, into the table with a merge operator."""
     staged = stage(source, table, order)
     try:
-        return merge_staged(spark, table, staged, how, evolve, **options)
+        return merge_staged(spark, table, staged, how, evolve, batch, **options)
     finally:
         delete_folder(spark, staged.path)
 

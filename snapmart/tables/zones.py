@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.tables.layout import literal
-from snapmart.tables.store import delete_folder, list_folders
+from snapmart.tables.versions import delete_folder, list_folders
 
 
 def snapshot_name(at: datetime) -> str:

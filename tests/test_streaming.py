@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from snapmart import schemas
 from snapmart.operators.marts import mart_summary
 from snapmart.streaming import ingest
-from snapmart.tables import store
+from snapmart.tables import store, versions
+from snapmart.tables.state import read_run_log
 from tests.conftest import rows
 
 AT = datetime(2024, 2, 1)
@@ -95,6 +96,66 @@ def test_mart_of_touched_keys_keeps_other_metrics(spark, path, layers):
     assert (row.total_ecological_footprint, row.total_biocapacity, row.ecological_deficit) == (12.0, 7.0, 5.0)
 
 
+def test_a_stream_that_stops_between_staging_and_mart_goes_on_there(spark, path, layers, monkeypatch):
+    """The batch is delivered again; tables, counts and log are as if nothing had happened."""
+    layers = ingest.Layers(layers.staging, layers.mart, f"{path}/runs")
+    put(f"{path}/land", "a.json", record(1, 1.0, 1), record(2, 2.0, 1))
+    ingest.auto_ingest(spark, f"{path}/land", f"{path}/raw", f"{path}/ck1", loaded_at=as_of()).awaitTermination()
+    seen = []
+
+    def run():
+        stream = ingest.raw_stream(spark, f"{path}/raw")
+        ingest.stream_merge(
+            stream, layers, f"{path}/ck2", as_of=as_of(), on_done=lambda i, d: seen.append((i, d))
+        ).awaitTermination()
+
+    def stop(*args):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "refresh_mart", stop)
+        with pytest.raises(Exception, match="killed"):
+            run()
+    assert store.read_table(spark, layers.staging).count() == 2
+    assert store.read_table(spark, layers.mart).count() == 0
+    run()
+    counts = {"inserted": 2, "updated": 0, "unchanged": 0}
+    assert seen == [(0, {"staging": counts, "mart": counts})]
+    assert versions.current(spark, layers.staging.path).number == 1
+    log = read_run_log(spark, layers.log_path).collect()
+    assert [(r.stage, r.records_processed, r.metadata["staging_inserted"]) for r in log] == [("MERGE", 2, "2")]
+    # once more, when everything is there: nothing is read, written or logged
+    mark = versions.Batch(ingest.stream_name(spark, f"{path}/ck2"), 0)
+    again = ingest.merge_batch(ingest.read_raw(spark, f"{path}/raw"), layers, as_of(), mark)
+    assert again == {"staging": counts, "mart": counts}
+    assert versions.current(spark, layers.mart.path).number == 1
+    assert read_run_log(spark, layers.log_path).count() == 1
+
+
+def test_changes_of_a_table_are_merged_once(spark, path, layers):
+    """A landing table under a manifest feeds staging, version by version."""
+    schema = schemas.T.StructType([f for f in ingest.RAW_FILES if f.name in schemas.RAW.names])
+    source = store.Table(f"{path}/landing", schema, schemas.FACT_KEY, "year")
+
+    def rows_of(*facts):
+        df = spark.createDataFrame([(c, 2024, "EFConsTotGHA", v, datetime(2024, 1, d)) for c, v, d in facts],
+                                   "country_code long, year long, record_type string, value double, transformed_at timestamp_ntz")
+        return store.shaped(df, schema)
+
+    def run():
+        ingest.merge_changes(spark, source, layers, f"{path}/ck", as_of=as_of()).awaitTermination()
+
+    store.load_append(rows_of((1, 1.0, 1), (2, 2.0, 1)), source, AT)
+    store.load_append(rows_of((1, 3.0, 2)), source, AT)
+    run()
+    assert rows(store.read_table(spark, layers.staging), "country_code", "value") == [(1, 3.0), (2, 2.0)]
+    store.load_append(rows_of((2, 9.0, 1), (2, 5.0, 3)), source, AT)
+    run()
+    run()
+    assert rows(store.read_table(spark, layers.staging), "country_code", "value") == [(1, 3.0), (2, 5.0)]
+    assert versions.current(spark, layers.staging.path).number == 2
+
+
 def test_insert_only(spark):
     df = spark.createDataFrame([(1, "INSERT"), (2, "DELETE")], "id int, change_action string")
     assert rows(ingest.insert_only(df)) == [(1,)]
