@@ -113,10 +113,8 @@ def _read(spark: SparkSession, table: Table, folders: Sequence[str], evolved: bo
     if not folders:
         return spark.createDataFrame([], _nullable(table.schema))
     paths = [f"{table.path}/{f}" for f in folders]
-    names = [f.name for f in table.schema]
     if not evolved:
-        reader = spark.read.schema(_nullable(table.schema)).option("basePath", table.path)
-        return reader.parquet(*paths).select(*names)
+        return read_paths(spark, table, paths)
     reader = spark.read.option("basePath", table.path).option("mergeSchema", True)
     found = {f.name: f.dataType for f in reader.parquet(*paths).schema if f.name != "g"}
     # Read by schema, so that folder names are not taken for numbers where they are text.
@@ -126,6 +124,12 @@ def _read(spark: SparkSession, table: Table, folders: Sequence[str], evolved: bo
     return rows.select(*schema.names)
 
 
+def read_paths(spark: SparkSession, table: Table, paths: Sequence[str]) -> DataFrame:
+    """The declared columns of files and folders below the table."""
+    reader = spark.read.schema(_nullable(table.schema)).option("basePath", table.path)
+    return reader.parquet(*paths).select(*[f.name for f in table.schema])
+
+
 def read_folders(spark: SparkSession, table: Table, folders: Sequence[str]) -> DataFrame:
     """The rows of some of a table's folders, whether or not its newest version has them."""
     return _read(spark, table, folders, False)

@@ -5,10 +5,11 @@ import threading
 import time
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapmart.operators import merge as M
-from snapmart.tables import changes, store, versions
+from snapmart.tables import changes, compact, store, versions
 from tests.conftest import rows
 from tests.test_tables import AT, LONGS, frame, table
 
@@ -178,3 +179,81 @@ def test_a_stream_of_changes_has_each_version_once(spark, path):
     store.load_merge(frame(spark, (1, 2020, 4.0)), t)
     run()
     assert seen[2:] == [(1, 3, "update", 1)]
+
+
+# Compaction. ----------------------------------------------------------------------------------
+
+
+@pytest.fixture
+def grown(spark, path):
+    """Forty appends, ids from 0 to 799 in no order, in two years."""
+    schema = T.StructType([*LONGS.fields]).add("_loaded_at", "timestamp_ntz")
+    t = store.Table(f"{path}/raw", schema, ["id", "year"], "year", ["id"])
+    for i in range(20):
+        data = [((i * 37 + k * 211) % 800, 2020 + k % 2, float(k)) for k in range(40)]
+        store.load_append(frame(spark, *data).coalesce(1), t, AT)
+    return t
+
+
+def test_compaction_keeps_rows_and_makes_files_few(spark, grown):
+    before = rows(store.read_table(spark, grown))
+    small = sum(f.bytes for f in compact.folders_of(spark, grown)) // 8
+    done = compact.compact(spark, grown, target_bytes=small)
+    assert done["partitions"] == 2 and done["files_before"] == 40 and 6 <= done["files_after"] <= 12
+    assert rows(store.read_table(spark, grown)) == before
+    # the feed of changes does not show it, and reading one id opens few files
+    assert changes.changes(spark, grown, 20).count() == 0
+    found = compact.read_range(spark, grown, 100, 102)
+    assert rows(found) == [r for r in before if 100 <= r[0] <= 102]
+    assert len(found.inputFiles()) <= 4 < len(store.read_table(spark, grown).inputFiles())
+
+
+def test_compaction_settles(spark, grown):
+    first = compact.compact(spark, grown)
+    assert first == {"partitions": 2, "files_before": 40, "files_after": 2}
+    assert compact.compact(spark, grown) == {"partitions": 0, "files_before": 0, "files_after": 0}
+    store.load_append(frame(spark, (5000, 2020, 1.0)), grown, AT)
+    # new folders have no statistics and are read whole
+    assert rows(compact.read_range(spark, grown, 5000, 5000), "id") == [(5000,)]
+    assert rows(compact.read_range(spark, grown, 6000, 7000), "id") == []
+    store.expire_versions(spark, grown, keep=1)
+    assert compact.expire_statistics(spark, grown) == []
+    assert compact.compact(spark, grown)["files_before"] == 2
+    store.expire_versions(spark, grown, keep=1)
+    assert len(compact.expire_statistics(spark, grown)) == 1
+
+
+def test_compaction_yields_to_other_writers(spark, grown, monkeypatch):
+    before = store.read_table(spark, grown).count()
+    real, once = versions.commit, []
+
+    def commit(spark_, path, added, kind, *args, **options):
+        if kind == versions.COMPACT and not once:
+            once.append(True)
+            store.load_append(frame(spark, (9000, 2020, 1.0)), grown, AT)
+        return real(spark_, path, added, kind, *args, **options)
+
+    monkeypatch.setattr(versions, "commit", commit)
+    done = compact.compact(spark, grown)
+    assert done["files_before"] == 41 and done["files_after"] == 2
+    assert store.read_table(spark, grown).count() == before + 1
+
+
+def test_compaction_of_tables_without_partitions_or_rows(spark, path):
+    t = table(path, None)
+    assert compact.compact(spark, t)["partitions"] == 0
+    for i in range(3):
+        store.load_merge(frame(spark, (i, 2020, 1.0)), t)
+    store.load_replace(frame(spark, *[(i, 2020, 1.0) for i in range(30)]).repartition(3), t)
+    before = rows(store.read_table(spark, t))
+    assert compact.compact(spark, t)["files_after"] == 1
+    assert rows(store.read_table(spark, t)) == before
+
+
+def test_evolved_columns_survive_compaction(spark, path):
+    t = table(path)
+    store.load_replace(frame(spark, (1, 2020, 1.0)), t)
+    more = frame(spark, (2, 2020, 5.0)).withColumn("score", F.lit("3A"))
+    store.load_append(more, t, AT)
+    assert compact.compact(spark, t)["files_after"] == 1
+    assert rows(store.read_table(spark, t, evolved=True), "id", "score") == [(1, None), (2, "3A")]
