@@ -12,7 +12,8 @@ from snapmart.operators import clean
 from snapmart.plans.monitor import one_row
 from snapmart.session import scratch_path
 from snapmart.streaming import ingest
-from snapmart.tables import store
+from snapmart.tables import store, versions
+from snapmart.tables.state import read_run_log
 
 VALUES = "country_code, country_name, iso_alpha2, year, record_type, carbon, value, score"
 COLUMNS = VALUES.split(", ")
@@ -136,3 +137,51 @@ def stream_replay(spark: SparkSession, sf: str) -> DataFrame:
             spark.range(1).select(F.lit(changed).cast("bigint").alias("changed_again")),
         ]
     )
+
+
+@query(
+    "stream_redelivery",
+    sql(
+        f"""SELECT CAST(count(*) AS BIGINT) AS staging_rows,
+        (SELECT CAST(count(*) AS BIGINT) FROM ({mart_sql("fp")}) AS m) AS mart_rows,
+        CAST(count(*) AS BIGINT) AS inserted, CAST(1 AS BIGINT) AS staging_commits,
+        CAST(1 AS BIGINT) AS mart_commits, CAST(1 AS BIGINT) AS logged FROM {_newest()} AS s""",
+        "fp",
+    ),
+)
+def stream_redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that stopped after staging, delivered twice more: each table takes it in once, and the
+    run log has it once with the counts of the first delivery."""
+    rows = I.facts(spark, sf).drop("event_id")
+    layers, mark = _layers(spark), versions.Batch("stream", 0)
+    layers = ingest.Layers(layers.staging, layers.mart, scratch_path(spark, "runs"))
+    ingest.merge_batch(rows, ingest.Layers(layers.staging), I.as_of(), mark)  # then it stopped
+    for _ in range(2):
+        done = ingest.merge_batch(rows, layers, I.as_of(), mark)
+    commits = [versions.current(spark, t.path).number for t in (layers.staging, layers.mart)]
+    log = read_run_log(spark, layers.log_path)
+    return one_row(
+        [
+            store.read_table(spark, layers.staging).agg(F.count("*").alias("staging_rows")),
+            store.read_table(spark, layers.mart).agg(F.count("*").alias("mart_rows")),
+            spark.range(1).select(*[
+                F.lit(v).cast("bigint").alias(n)
+                for n, v in (("inserted", done["staging"]["inserted"]), ("staging_commits", commits[0]), ("mart_commits", commits[1]))
+            ]),
+            log.agg(F.count("*").alias("logged")),
+        ]
+    )
+
+
+@query("stream_table_changes", sql(f"SELECT {VALUES}, transformed_at FROM {_newest()} AS s", "fp"))
+def stream_table_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """A landing table under a manifest, appended to twice, feeds staging by its changes."""
+    schema = store.T.StructType([f for f in schemas.RAW if f.name != "_loaded_at"])
+    rows = I.facts(spark, sf).withColumn("transformed_at", F.col("_loaded_at"))
+    landed = store.T.StructType([*schema.fields, store.T.StructField("_loaded_at", schemas.STAMP)])
+    table, layers = store.Table(scratch_path(spark, "raw"), landed, schemas.FACT_KEY, "year"), _layers(spark)
+    marks, early = scratch_path(spark, "ck"), F.hour("_loaded_at") < 12
+    for part, at in ((rows.filter(early), "2024-01-30"), (rows.filter(~early), "2024-01-31")):
+        store.load_append(store.shaped(part, schema), table, I.as_of(at))
+        ingest.merge_changes(spark, table, layers, marks, as_of=I.as_of()).awaitTermination()
+    return store.read_table(spark, layers.staging).select(*COLUMNS, "transformed_at")

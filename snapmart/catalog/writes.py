@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapmart import schemas
 from snapmart.catalog import inputs as I
 from snapmart.catalog.merges import KEY, NEWER, OUTPUT, merge_sql
-from snapmart.catalog.registry import query, sql
+from snapmart.catalog.registry import SQL, mart_sql, query, sql
 from snapmart.operators import clean
 from snapmart.operators import merge as M
+from snapmart.operators.marts import mart_summary
 from snapmart.session import scratch_path
-from snapmart.tables import layout, state, store, zones
+from snapmart.tables import changes, compact, layout, ledger, sets, state, store, zones
 
 AT = datetime(2024, 1, 31)
 ROW = "event_id, country_code, year, record_type, value"
@@ -208,6 +211,117 @@ def load_merge(spark: SparkSession, sf: str) -> DataFrame:
     return store.read_table(spark, table).select(*_STORED)
 
 
+@query("concurrent_merges", SQL["load_merge"])
+def concurrent_merges(spark: SparkSession, sf: str) -> DataFrame:
+    """Three writers at a time merge a share of the source each, into the same years: none is lost."""
+    target, source = _loads(spark, sf)
+    table = store.fact_table(scratch_path(spark, "merged"))
+    store.load_replace(target, table)
+    shares = [source.filter(F.pmod(F.xxhash64(*schemas.FACT_KEY), F.lit(3)) == i) for i in range(3)]
+    with ThreadPoolExecutor(3) as writers:
+        list(writers.map(lambda share: store.load_merge(share, table, I.as_of()), shares))
+    return store.read_table(spark, table).select(*_STORED)
+
+
+@query(
+    "table_changes",
+    sql(
+        f"""SELECT {KEY}, value, carbon, _action AS _change, CAST(2 AS BIGINT) AS _version
+        FROM ({merge_sql(NEWER)}) AS merged WHERE _action <> 'keep'""",
+        "morning",
+        "afternoon",
+    ),
+)
+def table_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """What a newer-wins merge inserted and updated, told from the folders of two versions."""
+    target, source = _loads(spark, sf)
+    table = store.fact_table(scratch_path(spark, "merged"))
+    store.load_replace(target, table)
+    store.apply_merge(spark, table, source, M.merge_newer_wins, as_of=I.as_of())
+    found = changes.changes(spark, table, since=1)
+    return found.select(*schemas.FACT_KEY, "value", "carbon", "_change", "_version")
+
+
+@query("compact_table", sql(f"SELECT {ROW} FROM fp", "fp"))
+def compact_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows appended in eight loads, compacted, and read again country by country in two ranges."""
+    table = _grown(spark, sf)
+    done = compact.compact(spark, table)
+    if done["files_after"] >= done["files_before"]:
+        raise RuntimeError(str(done))
+    low, high = compact.read_range(spark, table, 0, 499), compact.read_range(spark, table, 500, 2**62)
+    return low.unionByName(high).select(*COLUMNS)
+
+
+def _grown(spark: SparkSession, sf: str) -> store.Table:
+    rows = I.facts(spark, sf).select(*COLUMNS)
+    table = _raw_table(spark, rows)
+    for i in range(8):
+        store.load_append(rows.filter(F.pmod("event_id", F.lit(8)) == i), table, datetime(2024, 1, 31))
+    return table
+
+
+@query(
+    "table_set",
+    sql(
+        f"""SELECT 'facts' AS name, CAST(count(*) AS BIGINT) AS n FROM morning
+        UNION ALL SELECT 'mart', CAST(count(*) AS BIGINT) FROM ({mart_sql("morning")}) AS m""",
+        "morning",
+    ),
+)
+def table_set(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts and their mart written together; a second writer stops after the facts, and readers of the
+    set see the tables of the first."""
+    target, source = _loads(spark, sf)
+    root = scratch_path(spark, "set")
+    pair = sets.TableSet(f"{root}/_set", {"facts": store.fact_table(f"{root}/f"), "mart": store.mart_table(f"{root}/m")})
+    with sets.together(spark, pair):
+        store.load_replace(target, pair.tables["facts"])
+        stored = store.read_table(spark, pair.tables["facts"])
+        summary = mart_summary(stored).withColumn("_updated_at", I.as_of())
+        store.apply_merge(spark, pair.tables["mart"], summary, M.merge_mart, as_of=I.as_of())
+    try:
+        with sets.together(spark, pair):
+            store.load_merge(source, pair.tables["facts"], I.as_of())
+            raise InterruptedError("before the mart")
+    except InterruptedError:
+        pass
+    at = sets.current_set(spark, pair)
+    counts = [
+        sets.read_from(spark, pair, name, at).agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name in pair.tables
+    ]
+    return counts[0].union(counts[1])
+
+
+@query(
+    "load_new_files",
+    sql(
+        f"""SELECT strftime(_loaded_at, '%Y%m%d') AS day, CAST(count(*) AS BIGINT) AS n,
+        CAST(1 AS BIGINT) AS loads FROM fp GROUP BY ALL""",
+        "fp",
+    ),
+)
+def load_new_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of a day each, loaded, then landed again under other names and loaded again: once each."""
+    path, raw = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in ("day", "countryCode")],
+                           T.StructField("_loaded_at", T.TimestampNTZType())])
+    target, book = store.Table(raw, schema, ["day"]), ledger.ledger_table(scratch_path(spark, "ledger"))
+    rows = I.landed_records(spark, sf).withColumn("day", F.date_format("_loaded_at", "yyyyMMdd"))
+    lines = rows.select("day", F.to_json(F.struct(*schemas.RECORD_FIELDS.values(), "event_id")).alias("value"))
+    ordered = lines.repartition("day").sortWithinPartitions("day", "value")
+
+    def shaped(records: DataFrame) -> DataFrame:
+        day = F.regexp_extract("file_name", r"day=(\d+)/", 1)
+        return records.select(day.alias("day"), "countryCode")
+
+    for name, stamp in (("first", datetime(2024, 1, 30)), ("again", datetime(2024, 1, 31))):
+        ordered.write.partitionBy("day").text(f"{path}/{name}")
+        ledger.load_new_files(spark, path, target, book, stamp, r".*part-.*", rows_of=shaped)
+    found = store.read_table(spark, target).groupBy("day")
+    return found.agg(F.count("*").alias("n"), F.count_distinct("_loaded_at").alias("loads"))
+
+
 @query(
     "load_merge_evolved",
     sql(

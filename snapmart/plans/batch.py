@@ -34,7 +34,7 @@ from snapmart.sources.landed import (
     record_fields,
 )
 from snapmart.tables import state as S
-from snapmart.tables import store, zones
+from snapmart.tables import sets, store, zones
 from snapmart.tables.layout import literal, materialise
 
 
@@ -118,6 +118,14 @@ class RunConfig:
     def mart(self, target: str) -> store.Table:
         return store.mart_table(f"{self.root}/{target}/mart")
 
+    def tables(self, target: str) -> sets.TableSet:
+        """The tables of a target, which runs change together."""
+        return sets.TableSet(
+            f"{self.root}/{target}/_set",
+            {"footprint_data": self.fact(target), "countries": self.countries(target),
+             "record_types": self.types(target), "mart": self.mart(target)},
+        )
+
     @property
     def quality_path(self) -> str:
         return f"{self.root}/_quality"
@@ -304,6 +312,15 @@ def _merge_types(target: DataFrame, source: DataFrame, **options) -> DataFrame:
 def _load(
     cfg: RunConfig, target: str, facts: DataFrame, countries: DataFrame, replace_countries: bool,
     extra: Sequence[str] = (),
+) -> dict[str, object]:
+    """Load the tables of a target; those who read the set see all of it or nothing."""
+    with sets.together(facts.sparkSession, cfg.tables(target)):
+        return _load_tables(cfg, target, facts, countries, replace_countries, extra)
+
+
+def _load_tables(
+    cfg: RunConfig, target: str, facts: DataFrame, countries: DataFrame, replace_countries: bool,
+    extra: Sequence[str],
 ) -> dict[str, object]:
     at, spark = cfg.now(), facts.sparkSession
     rows = staging_rows(facts, at, extra)
@@ -347,8 +364,7 @@ def tidy(spark: SparkSession, cfg: RunConfig, as_of: date, keep_versions: int =
     """Delete copies past their retention and table versions nobody reads any more."""
     gone = [p for z in schemas.RETENTION_DAYS for p in zones.expire_partitions(spark, cfg.root, z, as_of)]
     for target in cfg.targets:
-        for table in (cfg.fact(target), cfg.countries(target), cfg.types(target), cfg.mart(target)):
-            gone += store.expire_versions(spark, table, keep_versions)
+        gone += sets.expire_set(spark, cfg.tables(target), keep_versions)
     return gone
 
 
@@ -454,11 +470,16 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
         return run.end("failed")
 
 
-def direct_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
-    """Extract and load without landing copies; countries are replaced, facts merged.
+def direct_run(
+    spark: SparkSession, cfg: RunConfig, keep_countries: bool = False
+) -> dict[str, object]:
+    """Extract and load without landing copies; facts are merged.
 
+    Countries are replaced where they land in a list of their own, which has all of them; those found
+    in the envelopes of some years are merged, as they are with ``keep_countries``.
     Returns the counts of each target, and how many rows were put aside.
     """
+    whole = cfg.countries_landing is not None and not keep_countries
     at, window = cfg.now(), (cfg.start_year, cfg.end_year)
     extra = _new_fields(spark, cfg, window)
     landed = _landed_facts(spark, cfg, window, extra)
@@ -471,7 +492,7 @@ def direct_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
         "transformed_at", F.lit(None).cast("timestamp_ntz")
     )
     facts = materialise(facts)
-    return {**{t: _load(cfg, t, facts, countries, True, extra) for t in cfg.targets}, **aside}
+    return {**{t: _load(cfg, t, facts, countries, whole, extra) for t in cfg.targets}, **aside}
 
 
 def extract_stage(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
@@ -500,7 +521,8 @@ def transform_stage(spark: SparkSession, raw_path: str, at: datetime) -> dict[st
 def load_stage(spark: SparkSession, path: str, cfg: RunConfig, target: str) -> dict[str, object]:
     """Stage 3: a transformed copy, by path, merged into the fact table of a target."""
     rows = spark.read.schema(TRANSFORMED).json(path)
-    counts = store.insert_or_replace(rows, cfg.fact(target).path)
+    with sets.together(spark, cfg.tables(target)):
+        counts = store.insert_or_replace(rows, cfg.fact(target).path)
     return {"status": "success", "destination": target, "path": path, **counts}
 
 
@@ -519,6 +541,9 @@ def full_refresh(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
 
 
 def backfill_range(spark: SparkSession, cfg: RunConfig, start: int, end: int) -> dict[str, object]:
-    """Load a range of years again, whatever the state says; running it twice changes nothing."""
+    """Load a range of years again, whatever the state says; running it twice changes nothing.
+
+    Countries and types of other years stay.
+    """
     again = replace(cfg, start_year=start, end_year=end)
-    return direct_run(spark, again)
+    return direct_run(spark, again, keep_countries=True)

@@ -25,6 +25,7 @@ from snapmart.operators.dedupe import dedupe_latest
 from snapmart.operators.marts import mart_summary_for
 from snapmart.sources.landed import BLOCK, CORRUPT, SEQ, SOURCE, flatten_documents
 from snapmart.tables import changes, store, versions
+from snapmart.tables.ledger import new_of_batch
 from snapmart.tables.state import log_run, read_run_log
 from snapmart.tables.versions import Batch
 
@@ -72,17 +73,26 @@ def auto_ingest(
     trigger: dict | None = None,
     loaded_at: Column | None = None,
     max_files: int | None = None,
+    ledger: store.Table | None = None,
 ) -> StreamingQuery:
     """Append each new file of ``path`` to the landing table exactly once.
 
-    Rows that do not parse are kept in the same table, marked by their text.
+    Rows that do not parse are kept in the same table, marked by their text. With a ``ledger`` files
+    whose content was loaded before, under any name, in a stream or a batch, are left out.
     """
     at = F.current_timestamp() if loaded_at is None else loaded_at
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        docs = batch.withColumn(SEQ, F.monotonically_increasing_id())
+        docs, fresh = batch.withColumn(SEQ, F.monotonically_increasing_id()), None
+        mark = ledger and Batch(stream_name(spark, checkpoint), batch_id)
+        if ledger is not None:
+            if versions.current(spark, ledger.path).holds(mark):
+                return  # delivered again after both were written
+            docs, fresh = new_of_batch(spark, docs, ledger)
         rows = raw_rows(flatten_documents(docs), at)
         rows.write.mode("overwrite").parquet(f"{raw_path}/{INGEST}={batch_id:012d}")
+        if ledger is not None:
+            store.load_append(fresh, ledger, at, mark)
 
     return _start(document_stream(spark, path, max_files), append, checkpoint, trigger)
 

@@ -20,7 +20,6 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -220,11 +219,10 @@ def _places(df: DataFrame) -> dict[str, Column]:
     """
     number = {"_at_row": F.monotonically_increasing_id()}
     file = {"_at_file": F.col("_metadata.file_path"), "_at_block": F.col("_metadata.file_block_start")}
-    try:
-        df.select(*file.values())
-    except AnalysisException:  # not read from files, or joined and grouped since
-        return number
-    return {**file, **number}
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+    known = any(hidden.apply(i).name() == "_metadata" for i in range(hidden.size()))
+    # Without: not read from files, or joined or grouped since.
+    return {**file, **number} if known else number
 
 
 def stage(df: DataFrame, table: Table, order: Sequence[str] = (), conform: bool = True) -> Staged:
