@@ -12,7 +12,7 @@ from snapmart import schemas
 from snapmart.catalog import inputs as I
 from snapmart.catalog.registry import AS_OF, query, sql
 from snapmart.operators import clean
-from snapmart.plans import batch
+from snapmart.plans import batch, redrive
 from snapmart.session import scratch_path
 from snapmart.tables import store
 
@@ -293,3 +293,70 @@ def backfill_range(spark: SparkSession, sf: str) -> DataFrame:
     for _ in range(2):
         batch.backfill_range(spark, cfg, 2006, 2012)
     return _facts_of(spark, cfg)
+
+
+def _redriven_sql(start: int, end: int) -> str:
+    dirty = f"(SELECT * FROM ({DIRTY}) AS d WHERE year BETWEEN {start} AND {end})"
+    return sql(
+        f"""SELECT 'resolved' AS status, CAST(2 AS BIGINT) AS attempt, CAST(count(*) AS BIGINT) AS rows
+        FROM {dirty} AS r WHERE country_code = 0 AND record_type IS NOT NULL
+        UNION ALL SELECT 'bad', CAST(3 AS BIGINT), CAST(count(*) AS BIGINT) FROM
+          (SELECT event_id FROM {dirty} AS t WHERE record_type IS NULL
+           UNION ALL SELECT event_id FROM {dirty} AS b WHERE event_id % {BROKEN_EVERY} = 0) AS x""",
+        "fp",
+    )
+
+
+def _redriven(spark: SparkSession, sf: str) -> batch.RunConfig:
+    """Rows put aside judged three times: as they are, with a code for code 0, and once more."""
+    cfg = _config(spark, sf, 2005, 2015)
+    batch.direct_run(spark, cfg)
+    code = F.when(F.col("countryCode") == "0", "999").otherwise(F.col("countryCode"))
+    redrive.redrive(spark, cfg)
+    for _ in range(2):
+        redrive.redrive(spark, cfg, lambda rows: rows.withColumn("countryCode", code))
+    return cfg
+
+
+@query("redrive", _redriven_sql(2005, 2015))
+def redrive_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return redrive.redrive_report(spark, _redriven(spark, sf))
+
+
+@query(
+    "redrive_facts",
+    sql(
+        f"""SELECT country_code, year, record_type, CAST(count(*) AS BIGINT) AS n FROM
+        (SELECT DISTINCT 999 AS country_code, year, record_type FROM ({DIRTY}) AS d
+         WHERE country_code = 0 AND record_type IS NOT NULL AND year BETWEEN 2005 AND 2015) AS k
+        GROUP BY ALL""",
+        "fp",
+    ),
+)
+def redrive_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """The facts of the corrected code: one row per key, however many rows were put aside."""
+    cfg = _redriven(spark, sf)
+    rows = store.read_table(spark, cfg.fact("main")).filter("country_code = 999")
+    found = rows.groupBy(*schemas.FACT_KEY).agg(F.count("*").alias("n"))
+    return found.withColumn("country_code", F.col("country_code").cast("int"))
+
+
+@query(
+    "backfill_countries",
+    sql(
+        """SELECT DISTINCT country_code, country_name FROM fp
+        WHERE country_code <> 0 AND year BETWEEN 2005 AND 2007""",
+        "fp",
+    ),
+)
+def backfill_countries(spark: SparkSession, sf: str) -> DataFrame:
+    """Countries known from the envelopes of 2005 to 2007 stay when 2006 is loaded again."""
+    path = scratch_path(spark, "landed")
+    rows = I.facts(spark, sf).filter("year BETWEEN 2005 AND 2007")
+    people = F.struct(F.col("country_code").alias("countryCode"), F.col("country_name").alias("countryName"))
+    line = F.to_json(F.struct(F.array(people).alias("countries")))
+    rows.select(line.alias("value"), "year").write.partitionBy("year").text(path)
+    cfg = batch.RunConfig(path, scratch_path(spark, "root"), 2005, 2007, at=datetime(2024, 1, 31))
+    batch.direct_run(spark, cfg)
+    batch.backfill_range(spark, cfg, 2006, 2006)
+    return store.read_table(spark, cfg.countries("main")).select("country_code", "country_name")

@@ -10,7 +10,7 @@ from snapmart.catalog import inputs as I
 from snapmart.catalog.registry import query, sql
 from snapmart.operators import clean
 from snapmart.session import scratch_path
-from snapmart.sources import landed, variant
+from snapmart.sources import drift, landed, variant
 from snapmart.tables.layout import cluster_layout
 
 FACT_COLUMNS = [
@@ -268,3 +268,41 @@ def read_latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     rows = I.facts(spark, sf).select("event_id", *FACT_COLUMNS, name.alias("snapshot"))
     rows.write.partitionBy("snapshot").parquet(path)
     return landed.read_latest_snapshot(spark, path).drop("snapshot")
+
+
+_DRIFTED = "CASE WHEN hour(ts) < 12 THEN 'BIGINT' ELSE 'STRING' END"
+
+
+def _drifting(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON records whose field k is a number in the morning and a text in the afternoon."""
+    events = I.table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").try_cast("long")
+    early = F.hour("ts") < 12
+    old = F.to_json(F.struct("event_id", k.alias("k"), F.lit(None).cast("string").alias("note")))
+    new = F.to_json(F.struct("event_id", F.concat(F.lit("k"), k.cast("string")).alias("k"), F.col("event_type").alias("note")))
+    path = scratch_path(spark, "drift")
+    events.select(F.when(early, old).otherwise(new).alias("value")).write.text(path)
+    return variant.land_variant(spark, path)
+
+
+@query(
+    "type_drift",
+    f"""SELECT 'k' AS field, {_DRIFTED} AS kind, CAST(count(*) AS BIGINT) AS rows, 'bigint' AS declared,
+    TRUE AS drifted FROM events GROUP BY ALL
+    UNION ALL SELECT 'event_id', 'BIGINT', CAST(count(*) AS BIGINT), 'bigint', FALSE FROM events
+    UNION ALL SELECT 'note', 'STRING', CAST(count(*) AS BIGINT), NULL, FALSE FROM events WHERE hour(ts) >= 12""",
+)
+def type_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The types fields really have; one has turned from number to text."""
+    return drift.drift_report(_drifting(spark, sf), {"k": "bigint", "event_id": "bigint"})
+
+
+@query(
+    "type_misfits",
+    """SELECT event_id, 'k: not bigint' AS reasons FROM events WHERE hour(ts) >= 12""",
+)
+def type_misfits(spark: SparkSession, sf: str) -> DataFrame:
+    """Records put aside because the declared type does not hold their value."""
+    bad = drift.split_misfits(_drifting(spark, sf), {"k": "bigint", "event_id": "bigint"})[1]
+    id_ = F.try_variant_get("raw_data", "$.event_id", "bigint")
+    return bad.select(id_.alias("event_id"), F.array_join("_reasons", ", ").alias("reasons"))
