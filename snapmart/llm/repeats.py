@@ -9,11 +9,14 @@ The work is exact and linear in the corpus; only hashes and positions of it are
 3. Whole stretches found more than once: all their windows repeat. Copies collapse here, whatever
    their number.
 4. The other stretches beside them share the core and differ near an end. One context of each
-   kind is fetched and handed to ``resolve``, which finds the single windows that repeat. Cores
-   with more than ``crowd`` different contexts go by hashes of single windows instead, counted
-   with partial sums, so that no group ever meets in one task.
-
-Both ways are exact, up to collisions of 128-bit hashes.
+   kind is fetched and handed to ``resolve``, which finds the single windows that repeat.
+5. A core with more than ``crowd`` different contexts is cut finer: the windows of a context whose
+   places before the anchor differ by less than ``width`` share more than the core, and the part they
+   share is a core of their own, for which steps 2 to 4 are done again with a smaller width. At width 1
+   a core is a whole window, so the cutting ends, and no group of more than ``crowd`` contexts ever
+   meets in one task.
+
+The result is exact, up to collisions of 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from snapmart.llm.anchors import Rolling, mix, stretches
 from snapmart.llm.common import row_key, slabs, stored, utf8
 
 SPAN = "k1 long, k2 long, first int, last int"
+FINER = 8  # a crowded core is cut into so many ranges of windows at a time
 
 
 @dataclass(frozen=True)
@@ -130,29 +134,68 @@ def unpack(content: list[bytes], kind) -> tuple[np.ndarray, np.ndarray]:
     return data, np.array([len(c) for c in content]) // np.dtype(kind).itemsize
 
 
-def _window_hashes(unit: Unit, kind):
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _finer_rows(unit: Unit, kind, width: int):
+    """Parts of crowded contexts: windows whose places before the anchor fall into one range of
+    ``width``. Their core is what all windows of the range have in common."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             content = batch.column("content").to_pylist()
-            starts = np.asarray(batch.column("starts"))
             for low, high in slabs(content):
                 data, counts = unpack(content[low:high], kind)
                 tokens = mix(data.astype(np.uint64))
                 one, two = Rolling(tokens), Rolling(tokens, 1)
-                doc = np.repeat(np.arange(high - low), starts[low:high])
-                step = np.arange(len(doc)) - np.repeat(
-                    np.cumsum(starts[low:high]) - starts[low:high], starts[low:high]
-                )
-                at = (np.cumsum(counts) - counts)[doc] + step
-                first = np.asarray(batch.column("first"))[low + doc] + step
+                starts, left = (np.asarray(batch.column(c))[low:high].astype(np.int64) for c in ("starts", "left"))
+                owner = np.repeat(np.arange(high - low), starts)
+                step = np.arange(len(owner)) - np.repeat(np.cumsum(starts) - starts, starts)
+                group = (left[owner] - step) // width
+                begins, ends = runs_of(owner, group)
+                own, first, last, group = owner[begins], step[begins], step[ends], group[begins]
+                begin = (np.cumsum(counts) - counts)[own]
+                anchor = begin + left[own]
+                shared = one.slices(anchor - group * width, anchor - (group + 1) * width + 1 + unit.size)
+                core = mix(shared ^ mix(group.astype(np.uint64) + np.uint64(width << 20)))
+                whole = two.slices(begin + first, begin + last + unit.size)
+                base = np.asarray(batch.column("first"))[low + own]
                 yield pa.record_batch(
-                    [np.asarray(batch.column(k))[low + doc] for k in ("k1", "k2")]
-                    + [first.astype(np.int32), one.slices(at, at + unit.size).view(np.int64),
-                       two.slices(at, at + unit.size).view(np.int64)],
-                    names=["k1", "k2", "first", "h1", "h2"],
+                    [np.asarray(batch.column(k))[low + own] for k in ("k1", "k2")]
+                    + [base, (base + first).astype(np.int32), (base + last).astype(np.int32),
+                       (left[own] - first).astype(np.int32), core.view(np.int64), whole.view(np.int64),
+                       pa.array(batch.column("single").to_numpy(zero_copy_only=False)[low + own])],
+                    names=["k1", "k2", "base", "first", "last", "left", "core", "whole", "single"],
                 )
 
-    return hashes
+    return cut
+
+
+def _slice(unit: Unit, kind):
+    """Contents of the wanted parts of contexts."""
+    item = np.dtype(kind).itemsize
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, base = batch.column("wanted"), np.asarray(batch.column("base"))
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            flat, content = lists.flatten(), batch.column("content").to_pylist()
+            f = {n: np.asarray(flat.field(n)) for n in ("first", "last")}
+            held = [
+                content[o][(s - b) * item : (e - b + unit.size) * item]
+                for o, b, s, e in zip(owner, base[owner], f["first"], f["last"], strict=True)
+            ]
+            yield pa.record_batch(
+                [np.asarray(batch.column(k))[owner] for k in ("k1", "k2")]
+                + [pa.array(f["first"]), pa.array(f["last"] - f["first"] + 1), flat.field("left"),
+                   flat.field("core"), flat.field("single"), flat.field("crowded"), pa.array(held, pa.binary())],
+                names=["k1", "k2", "first", "starts", "left", "core", "single", "crowded", "content"],
+            )
+
+    return parts
+
+
+def runs_of(owner: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run of one owner and group."""
+    changed = (owner[1:] != owner[:-1]) | (group[1:] != group[:-1])
+    return np.flatnonzero(np.concatenate([[True], changed])), np.flatnonzero(np.concatenate([changed, [True]]))
 
 
 def runs(flags: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,18 +286,52 @@ def repeated_windows(
         " crowded boolean, content binary",
     )
     contexts = stored(contexts, "edge-contexts")
-    usual = contexts.where("not crowded").repartition("core").sortWithinPartitions("core")
-    usual = usual.mapInArrow(_resolved(resolve, kind, unit, block), SPAN)
-
-    single = contexts.where("crowded").mapInArrow(
-        _window_hashes(unit, kind), "k1 long, k2 long, first int, h1 long, h2 long"
+    out, width = copies.select("k1", "k2", "first", "last"), unit.reach
+    while True:
+        usual = contexts.where("not crowded").repartition("core").sortWithinPartitions("core")
+        out = out.union(usual.mapInArrow(_resolved(resolve, kind, unit, block), SPAN))
+        if contexts.where("crowded").isEmpty():
+            return out
+        width = max(1, width // FINER)
+        again, contexts = _cut_finer(contexts.where("crowded"), unit, kind, width, crowd)
+        out = out.union(again)
+
+
+def _cut_finer(contexts: DataFrame, unit: Unit, kind, width: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """(ranges of windows that repeat, contexts that are still to be told apart) of crowded contexts."""
+    parts = stored(
+        contexts.mapInArrow(
+            _finer_rows(unit, kind, width),
+            "k1 long, k2 long, base int, first int, last int, left int, core long, whole long, single boolean",
+        ),
+        "context-parts",
+    )
+    cores = stored(parts.groupBy("core").count().where("count > 1").select("core"), "part-cores")
+    # A merge join can cut a hot core's rows; after a broadcast they would stay together.
+    shared = stored(parts.join(cores.hint("merge"), "core", "left_semi"), "shared-parts")
+    place = F.struct("k1", "k2", "base", "first", "last", "left", "single")
+    kinds = shared.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(place).alias("at"))
+    kinds = stored(kinds, "part-kinds")
+    twice = kinds.where("n > 1").select("core", "whole").hint("merge")
+    copies = shared.where("single").join(twice, ["core", "whole"], "left_semi").select("k1", "k2", "first", "last")
+    mixed = kinds.groupBy("core").agg(F.count("*").alias("m")).where("m > 1")
+    wanted = kinds.join(stored(mixed, "mixed-parts", few=True), "core").select(
+        "at.k1", "at.k2", "at.base",
+        F.struct("at.first", "at.last", "at.left", "core",
+                 (F.col("at.single") & (F.col("n") == 1)).alias("single"),
+                 (F.lit(width > 1) & (F.col("m") > crowd)).alias("crowded")).alias("part"),
+    ).groupBy("k1", "k2", "base").agg(F.collect_list("part").alias("wanted"))
+    # A context has no more parts than windows.
+    held = contexts.select("k1", "k2", F.col("first").alias("base"), "core", "content")
+    rows = held.join(wanted, ["k1", "k2", "base"]).dropDuplicates(["k1", "k2", "base"])
+    return copies, stored(
+        rows.select("k1", "k2", "base", "content", "wanted").mapInArrow(
+            _slice(unit, kind),
+            "k1 long, k2 long, first int, starts int, left int, core long, single boolean,"
+            " crowded boolean, content binary",
+        ),
+        "part-contexts",
     )
-    twice = single.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    # A merge join can cut a hot window's rows; after a broadcast they would stay together.
-    twice = stored(twice, "repeated-windows", few=True).hint("merge")
-    crowded = single.join(twice, ["h1", "h2"], "left_semi")
-    crowded = crowded.selectExpr("k1", "k2", "first", "first AS last")
-    return copies.select("k1", "k2", "first", "last").union(usual).union(crowded)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
