@@ -25,7 +25,9 @@ from snapmart.quality import postload, preload
 from snapmart.sources.landed import (
     CORRUPT,
     INPUT_ORDER,
+    SECTION,
     flatten_documents,
+    flatten_sections,
     in_years,
     landed_fields,
     landed_schema,
@@ -169,35 +171,107 @@ def staging_rows(facts: DataFrame, at, extra: Sequence[str] = ()) -> DataFrame:
     return store.shaped(rows, T.StructType([*schemas.STAGING, *more]))
 
 
-def _landed_facts(
-    spark: SparkSession, cfg: RunConfig, window: tuple[int, int], extra: Sequence[str] = ()
-) -> DataFrame:
+def _of_run(cfg: RunConfig, rows: DataFrame, window: tuple[int, int]) -> DataFrame:
     """Landed rows of the window and of the types asked for; rows without them are kept aside
-    later, so they stay here. The same rows for every layout."""
-    if cfg.layout == "records":
-        rows = read_records(spark, cfg.landing, years=window, extra=extra)
-    else:
-        docs = read_documents(spark, cfg.landing, cfg.layout, years=window)
-        rows = flatten_documents(docs, fields=[*record_fields(), *extra])
-        rows = rows.filter(in_years(F.col("year"), window))
+    later, so they stay here."""
+    rows = rows.filter(in_years(F.col("year"), window))
     if cfg.record_types is None:
         return rows
     return rows.filter(F.col("record").isin(list(cfg.record_types)) | is_missing(rows, "record"))
 
 
-def _landed_countries(
-    spark: SparkSession, cfg: RunConfig, window: tuple[int, int]
+def _landed_facts(
+    spark: SparkSession, cfg: RunConfig, window: tuple[int, int], extra: Sequence[str] = ()
 ) -> DataFrame:
-    """Countries from their own landing, or from the envelopes the facts of the window came in."""
-    if cfg.countries_landing is not None and cfg.layout == "records":
-        return read_records(spark, cfg.countries_landing, "countries")
-    if cfg.countries_landing is not None:
-        docs = read_documents(spark, cfg.countries_landing, cfg.layout)
-        return flatten_documents(docs, "countries")
+    """Landed facts of a run, read straight from the landing. The same rows for every layout."""
+    if cfg.layout == "records":
+        return _of_run(cfg, read_records(spark, cfg.landing, years=window, extra=extra), window)
     docs = read_documents(spark, cfg.landing, cfg.layout, years=window)
-    # What does not parse was put aside with the facts of the same document.
-    rows = flatten_documents(docs, "countries", bare=False)
-    return rows.filter(F.col(CORRUPT).isNull())
+    return _of_run(cfg, flatten_documents(docs, fields=[*record_fields(), *extra]), window)
+
+
+class Landing:
+    """What landed for a run: facts, countries and type descriptions.
+
+    Documents that hold more than facts are parsed once into ``_landing``, a folder per section, and
+    every later step reads the folders it needs; ``close`` deletes them. Single records need no
+    such copy, and neither do facts that come without other sections and are read ``once``.
+    """
+
+    def __init__(
+        self, spark: SparkSession, cfg: RunConfig, window: tuple[int, int],
+        extra: Sequence[str] = (), once: bool = False,
+    ):
+        self.spark, self.cfg, self.window, self.extra = spark, cfg, window, extra
+        self.path = None
+        lone = cfg.countries_landing is not None and cfg.types_landing is not None
+        if cfg.layout == "records" or (lone and once):
+            return
+        self.sections = {"footprint_data": [*record_fields(), *extra]}
+        for section, landing in (
+            ("countries", cfg.countries_landing), ("record_types", cfg.types_landing)
+        ):
+            if landing is None:
+                self.sections[section] = record_fields(section)
+        docs = read_documents(spark, cfg.landing, cfg.layout, years=window)
+        rows = flatten_sections(docs, self.sections)
+        self.schema = rows.schema
+        self.path = f"{cfg.root}/_landing/{uuid.uuid4().hex}"
+        rows.write.mode("errorifexists").partitionBy(SECTION).parquet(self.path)
+
+    def _section(self, section: str) -> DataFrame:
+        rows = self.spark.read.schema(self.schema).parquet(self.path)
+        return rows.filter(F.col(SECTION) == section).select(
+            *self.sections[section], *INPUT_ORDER, CORRUPT
+        )
+
+    def facts(self) -> DataFrame:
+        if self.path is None:
+            return _landed_facts(self.spark, self.cfg, self.window, self.extra)
+        return _of_run(self.cfg, self._section("footprint_data"), self.window)
+
+    def countries(self) -> DataFrame:
+        """Countries from their own landing, or from the envelopes the facts of the window came in.
+
+        An envelope that does not parse was put aside with its facts. Single records without a
+        landing of countries name none.
+        """
+        cfg = self.cfg
+        if cfg.countries_landing is None and self.path is not None:
+            return self._section("countries")
+        if cfg.countries_landing is not None and cfg.layout == "records":
+            return read_records(self.spark, cfg.countries_landing, "countries")
+        if cfg.countries_landing is not None:
+            docs = read_documents(self.spark, cfg.countries_landing, cfg.layout)
+            return flatten_documents(docs, "countries")
+        docs = read_documents(self.spark, cfg.landing, "lines", years=self.window)
+        rows = flatten_documents(docs, "countries", bare=False)
+        return rows.filter(F.col(CORRUPT).isNull())
+
+    def types(self) -> DataFrame | None:
+        """(record_type, description) from what landed; of several for a type the first."""
+        cfg = self.cfg
+        if cfg.types_landing is None:
+            if cfg.layout == "records":
+                return None
+            rows = self._section("record_types")
+        elif cfg.layout == "records":
+            rows = read_records(self.spark, cfg.types_landing, "record_types")
+        else:
+            docs = read_documents(self.spark, cfg.types_landing, cfg.layout)
+            rows = flatten_documents(docs, "record_types")
+        named = rows.select(
+            coalesce_names(rows, ["record_type", "record"]).alias("record_type"),
+            coalesce_names(rows, ["description", "name"]).alias("description"),
+            F.struct(*INPUT_ORDER).alias("place"),
+        ).filter("record_type <> '' AND description <> ''")
+        return named.groupBy("record_type").agg(
+            F.min_by("description", "place").alias("description")
+        )
+
+    def close(self) -> None:
+        if self.path is not None:
+            store.delete_folder(self.spark, self.path)
 
 
 def _new_fields(spark: SparkSession, cfg: RunConfig, window: tuple[int, int]) -> list[str]:
@@ -210,27 +284,6 @@ def _new_fields(spark: SparkSession, cfg: RunConfig, window: tuple[int, int]) ->
     return [n for n in landed_fields(docs) if n.lower() not in known]
 
 
-def _landed_types(
-    spark: SparkSession, cfg: RunConfig, window: tuple[int, int]
-) -> DataFrame | None:
-    """(record_type, description) from what landed; of several for a type the first."""
-    own = cfg.types_landing is not None
-    if cfg.layout == "records":
-        if not own:
-            return None
-        rows = read_records(spark, cfg.types_landing, "record_types")
-    else:
-        docs = read_documents(spark, cfg.types_landing or cfg.landing, cfg.layout,
-                              years=None if own else window)
-        rows = flatten_documents(docs, "record_types", bare=own)
-    named = rows.select(
-        coalesce_names(rows, ["record_type", "record"]).alias("record_type"),
-        coalesce_names(rows, ["description", "name"]).alias("description"),
-        F.struct(*INPUT_ORDER).alias("place"),
-    ).filter("record_type <> '' AND description <> ''")
-    return named.groupBy("record_type").agg(F.min_by("description", "place").alias("description"))
-
-
 def _described(facts: DataFrame, types: DataFrame | None) -> DataFrame:
     """With the description of each type; a type without one describes itself."""
     if types is None:
@@ -401,23 +454,24 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
 
     Ends as success, no_data, dq_failed or failed; with ``raise_on_failure`` failed checks raise.
     """
-    run, at = _Run(spark, cfg), cfg.now()
+    run, at, landing = _Run(spark, cfg), cfg.now(), None
     try:
         window = _window(spark, cfg)
         extra = _new_fields(spark, cfg, window)
-        raw = zones.write_raw_snapshot(_landed_facts(spark, cfg, window, extra), cfg.root, at)
+        landing = Landing(spark, cfg, window, extra, once=True)
+        raw = zones.write_raw_snapshot(landing.facts(), cfg.root, at)
         run.metrics.update(window=window, raw_path=raw["path"], extracted=raw["record_count"])
         run.log("EXTRACT", "SUCCESS", records=raw["record_count"], source_file=raw["path"])
         if not raw["record_count"]:
             return run.end("no_data")
 
         landed = read_raw_snapshot(spark, raw["path"], extra)
-        people = _landed_countries(spark, cfg, window)
+        people = landing.countries()
         run.metrics.update(_put_aside(landed, people, cfg.root, zones.snapshot_name(at)))
         countries = _typed_countries(people, at)
         facts = _typed_facts(landed, at, window, extra)
         countries, facts = transform_batch(countries, facts, at)
-        facts = _described(facts, _landed_types(spark, cfg, window))
+        facts = _described(facts, landing.types())
         if cfg.enforce_contract:
             facts, broken = clean.contract_enforce(facts, schemas.FACT)
             broken.write.mode("errorifexists").parquet(
@@ -468,6 +522,9 @@ def batch_run(spark: SparkSession, cfg: RunConfig) -> dict[str, object]:
         run.metrics["error"] = str(error)
         run.log("RUN", "FAILED", error=str(error))
         return run.end("failed")
+    finally:
+        if landing is not None:
+            landing.close()
 
 
 def direct_run(
@@ -482,16 +539,20 @@ def direct_run(
     whole = cfg.countries_landing is not None and not keep_countries
     at, window = cfg.now(), (cfg.start_year, cfg.end_year)
     extra = _new_fields(spark, cfg, window)
-    landed = _landed_facts(spark, cfg, window, extra)
-    people = _landed_countries(spark, cfg, window)
-    aside = _put_aside(landed, people, cfg.root, f"{zones.snapshot_name(at)}_{uuid.uuid4().hex[:8]}")
-    facts = _typed_facts(landed, at, window, extra)
-    facts = dedupe.dedupe_first(clean.require_fields(facts), schemas.FACT_KEY, INPUT_ORDER)
-    facts = _described(facts, _landed_types(spark, cfg, window))
-    countries = dedupe.dedupe_countries(_typed_countries(people, at), INPUT_ORDER).withColumn(
-        "transformed_at", F.lit(None).cast("timestamp_ntz")
-    )
-    facts = materialise(facts)
+    landing = Landing(spark, cfg, window, extra)
+    try:
+        landed, people = landing.facts(), landing.countries()
+        name = f"{zones.snapshot_name(at)}_{uuid.uuid4().hex[:8]}"
+        aside = _put_aside(landed, people, cfg.root, name)
+        facts = _typed_facts(landed, at, window, extra)
+        facts = dedupe.dedupe_first(clean.require_fields(facts), schemas.FACT_KEY, INPUT_ORDER)
+        facts = materialise(_described(facts, landing.types()))
+        countries = dedupe.dedupe_countries(_typed_countries(people, at), INPUT_ORDER)
+        countries = materialise(
+            countries.withColumn("transformed_at", F.lit(None).cast("timestamp_ntz"))
+        )
+    finally:
+        landing.close()
     return {**{t: _load(cfg, t, facts, countries, whole, extra) for t in cfg.targets}, **aside}
 
 

@@ -18,6 +18,7 @@ from snapmart.functions import whole_number
 
 CORRUPT = "_corrupt_record"
 SOURCE, ROW, BLOCK, SEQ = "_source_file", "_row_number", "_block", "_seq"
+SECTION = "_section"
 
 # Input order of a landed row: file, block within the file, document within the block, position.
 INPUT_ORDER = [SOURCE, BLOCK, SEQ, ROW]
@@ -127,6 +128,72 @@ def flatten_documents(
     )
 
 
+def flatten_sections(
+    docs: DataFrame,
+    sections: Mapping[str, Sequence[str]],
+    keep: Sequence[str] = (SOURCE, BLOCK, SEQ),
+) -> DataFrame:
+    """One row per record of several sections, named in ``_section``; each document is parsed once.
+
+    ``sections`` maps a section to its fields. The first is read as by ``flatten_documents``. The
+    others come out of the same parse as text, whatever it holds, and only that text is parsed
+    again; records of theirs that do not parse are left out. Fields a section lacks are null.
+    """
+    (main, own), *others = sections.items()
+    record = _texts(list(own))
+    whole = T.StructType([*record.fields, T.StructField(main, T.ArrayType(record))])
+    whole = T.StructType([*whole.fields, *_texts([*[s for s, _ in others], CORRUPT]).fields])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    names = list(dict.fromkeys(f for fields in sections.values() for f in fields))
+
+    is_array = F.ltrim("document").startswith("[")
+    first = docs.select(
+        *keep,
+        "document",
+        is_array.alias("_is_array"),
+        F.when(is_array, F.from_json("document", T.ArrayType(record))).alias("_array"),
+        F.when(~is_array, F.from_json("document", whole, options)).alias("_object"),
+    )
+
+    def inside(section: str, fields: Sequence[str]) -> Column:
+        """The section's text as an envelope of its own."""
+        schema = T.StructType([T.StructField(section, T.ArrayType(_texts(list(fields))))])
+        schema = schema.add(CORRUPT, T.StringType())
+        text = F.concat(F.lit(f'{{"{section}":'), F.col("_object")[section], F.lit("}"))
+        return F.from_json(text, schema, options).alias(f"_in_{section}")
+
+    parsed = first.select("*", *[inside(s, fields) for s, fields in others])
+    row_type = T.StructType([*_texts([SECTION, CORRUPT]).fields, T.StructField(ROW, T.LongType())])
+    rows_type = T.ArrayType(T.StructType([*row_type.fields, *_texts(names).fields]))
+
+    def rows_of(section: str, records: Column, fields: Sequence[str], corrupt: Column) -> Column:
+        def row(r: Column, at: Column) -> Column:
+            cells = [(r[n] if n in fields else F.lit(None).cast("string")).alias(n) for n in names]
+            place = (at + 1).cast("bigint").alias(ROW)
+            return F.struct(F.lit(section).alias(SECTION), corrupt.alias(CORRUPT), place, *cells)
+
+        return F.coalesce(F.transform(records, row), F.array().cast(rows_type))
+
+    obj, array = F.col("_object"), F.col("_array")
+    one = F.struct(*[obj[f.name].alias(f.name) for f in record])
+    nothing = F.struct(*[F.lit(None).cast("string").alias(f.name) for f in record])
+    has_record = F.coalesce(*[obj[f.name] for f in record]).isNotNull()
+    broken = F.when(F.col("_is_array"), array.isNull()).otherwise(obj[CORRUPT].isNotNull())
+    records = (
+        F.when(broken, F.array(nothing))
+        .when(F.col("_is_array"), array)
+        .when(obj[main].isNotNull(), obj[main])
+        .when(has_record, F.array(one))
+    )
+    found = [rows_of(main, records, own, F.when(broken, F.col("document")))]
+    for section, fields in others:
+        part = F.col(f"_in_{section}")
+        usable = F.when(part[CORRUPT].isNull(), part[section])
+        found.append(rows_of(section, usable, fields, F.lit(None).cast("string")))
+    rows = parsed.select(*keep, F.explode(F.concat(*found)).alias("_rec"))
+    return rows.select(*[f"_rec.{n}" for n in names], *keep, f"_rec.{ROW}", f"_rec.{CORRUPT}", f"_rec.{SECTION}")
+
+
 def landed_fields(docs: DataFrame, section: str = "footprint_data") -> list[str]:
     """Names of all fields that records of a section have, in any document form."""
     text = F.col("document")

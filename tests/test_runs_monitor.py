@@ -327,3 +327,14 @@ def test_retention_covers_what_runs_write(spark, path):
     for zone in ("raw", "failed", "staged"):
         assert not [n for n in os.listdir(f"{cfg.root}/{zone}") if "=" in n]
     assert len(loaded(spark, cfg)) == 1
+
+
+@pytest.mark.parametrize("direct", [True, False])
+def test_a_run_parses_its_documents_once(spark, path, monkeypatch, direct):
+    put(f"{path}/land", "a.json", envelope(record(1, 2015, 1.0), record(2, 2016, 2.0)), "{broken")
+    cfg, seen, read = config(path), [], batch.read_documents
+    monkeypatch.setattr(batch, "read_documents", lambda *a, **k: seen.append(a[1]) or read(*a, **k))
+    (batch.direct_run if direct else batch.batch_run)(spark, cfg)
+    assert seen == [cfg.landing]
+    assert len(loaded(spark, cfg)) == 2 and os.listdir(f"{cfg.root}/_landing") == []
+    assert store.read_table(spark, cfg.countries("main")).count() == 2

@@ -172,3 +172,29 @@ def test_filter_reaches_the_scan(spark, path):
     assert "PushedFilters: [In(record_type, [EF])]" in plan_of(df) or "EqualTo(record_type,EF)" in plan_of(df)
     wanted = spark.createDataFrame([("BC",)], schemas.T.StructType().add("record_type", "string"))
     assert rows(landed.filter_types(spark.read.parquet(path), wanted)) == [("BC", 2.0)]
+
+
+def test_sections_come_from_one_parse(spark, path):
+    """The same rows as a parse for each section, whatever another section holds."""
+    types = [{"record_type": "EF", "description": "Footprint"}, {"record_type": "BC"}]
+    put(
+        path, "a.json",
+        "\n".join([
+            json.dumps({**ENVELOPE, "record_types": types}), "{broken", "[1, {]", "[]", "{}",
+            json.dumps(record(7)), json.dumps([record(8), record(9)]),
+            json.dumps({"footprint_data": [record(3)], "countries": "none", "record_types": [1]}),
+            json.dumps({"footprint_data": "none", "countries": [{"countryCode": 5}]}),
+            json.dumps({"countries": [{"countryCode": 6, "countryName": "a\"b{]é"}, None]}),
+        ]),
+    )
+    docs = landed.read_documents(spark, path)
+    sections = {s: landed.record_fields(s) for s in ("footprint_data", "countries", "record_types")}
+    found = landed.flatten_sections(docs, sections)
+    for section, fields in sections.items():
+        bare = section == "footprint_data"
+        alone = landed.flatten_documents(docs, section, bare=bare)
+        if not bare:
+            alone = alone.filter("_corrupt_record IS NULL")
+        columns = [*fields, "_seq", "_row_number", "_corrupt_record"]
+        part = found.filter(found[landed.SECTION] == section)
+        assert rows(part, *columns) == rows(alone, *columns), section
