@@ -14,6 +14,8 @@ from snapmart.operators import returns
 from snapmart.quality import checks as Q
 from snapmart.quality import postload as post
 from snapmart.quality import preload as pre
+from snapmart.quality import profiles
+from snapmart.session import scratch_path
 
 ALLOWED = ", ".join(f"'{t}'" for t in schemas.VALID_RECORD_TYPES)
 KEY = ", ".join(schemas.FACT_KEY)
@@ -292,6 +294,45 @@ def pq_row_count_anomaly(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_SEASON = "dayname(d)"
+
+
+@query(
+    "pq_count_limits",
+    f"""WITH p AS (SELECT user_id, CAST(date_trunc('day', ts) AS DATE) AS d, count(*) AS n FROM events
+      GROUP BY 1, 2),
+    l AS (SELECT DISTINCT d FROM p
+      WHERE {_SEASON} = (SELECT {_SEASON} FROM (SELECT max(d) AS d FROM p) AS x)),
+    last AS (SELECT max(d) AS d FROM l),
+    u AS (SELECT user_id, min(d) AS seen FROM p WHERE d IN (SELECT d FROM l) GROUP BY 1),
+    c AS (SELECT user_id, l.d, coalesce(n, 0) AS n FROM u JOIN l ON l.d >= seen
+      LEFT JOIN p USING (user_id, d)),
+    m AS (SELECT user_id, coalesce(max(n) FILTER (WHERE d = (SELECT d FROM last)), 0) AS n_rows,
+      count(*) FILTER (WHERE d <> (SELECT d FROM last)) AS n_loads,
+      median(n) FILTER (WHERE d <> (SELECT d FROM last)) AS median_rows,
+      mad(CAST(n AS DOUBLE)) FILTER (WHERE d <> (SELECT d FROM last)) AS away FROM c GROUP BY 1),
+    s AS (SELECT *, greatest(away * 1.4826 * 4, median_rows * 0.1) AS spread FROM m)
+    SELECT user_id AS country_code, CAST(n_rows AS BIGINT) AS n_rows,
+    CAST(n_loads AS BIGINT) AS n_loads, CAST(median_rows AS DOUBLE) AS median_rows,
+    round(greatest(median_rows - spread, 0), 6) AS low_rows, round(median_rows + spread, 6) AS high_rows,
+    CASE WHEN n_loads < 3 THEN 'NEW' WHEN n_rows < round(greatest(median_rows - spread, 0), 6) THEN 'LOW'
+      WHEN n_rows > round(median_rows + spread, 6) THEN 'HIGH' ELSE 'PASS' END AS status FROM s""",
+)
+def pq_count_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of a day as one load, profiled per user, then judged by loads of the same weekday."""
+    events = I.table(spark, sf, "events").select(
+        F.col("user_id").alias("country_code"), F.to_date("ts").alias("day"), "event_type", "value"
+    )
+    path = scratch_path(spark, "profiles")
+    made = profiles.profile(events, ["country_code"], ["day"], "event_type", "value")
+    profiles.append_profile(made, path)
+    stored = profiles.read_profiles(spark, path)
+    found = profiles.count_anomalies(
+        stored, ["country_code"], "day", profiles.day_of_week(F.col("day"))
+    )
+    return found.withColumns({c: F.round(c, 6) for c in ("low_rows", "high_rows")})
+
+
 # Scheduled.
 def _stg(spark: SparkSession, sf: str) -> DataFrame:
     return I.facts(spark, sf)
