@@ -301,10 +301,10 @@ def plain_top(rows, k):
     return out
 
 
-@pytest.mark.parametrize("shard_rows", [7, 1024])
-def test_top_k_is_exact(spark, shard_rows, monkeypatch):
-    monkeypatch.setattr(topk_search, "MIN_SHARD_ROWS", shard_rows)
-    monkeypatch.setattr(topk_search, "MAX_SHARD_ROWS", shard_rows)
+@pytest.mark.parametrize("cells", [24 * 40, topk_search.MAX_SHARD_CELLS])
+def test_top_k_is_exact(spark, cells, monkeypatch):
+    monkeypatch.setattr(topk_search, "MIN_SHARD_CELLS", cells)
+    monkeypatch.setattr(topk_search, "MAX_SHARD_CELLS", cells)
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in np.float32(rng.normal(size=24) * 0.2 + (i % 4) * 0.1)]) for i in range(350)]
     rows += [(1000 + i, rows[100][1]) for i in range(30)]  # ties
@@ -317,14 +317,40 @@ def test_top_k_is_exact(spark, shard_rows, monkeypatch):
     assert topk_search.top_k(frame.limit(0), frame).count() == 0
 
 
-def test_pruning_drops_work_and_no_hit():
+def test_equal_query_rows_are_one_query(spark, monkeypatch):
+    """A query that stands twice gets each hit once; other vectors of its id are other queries."""
+    monkeypatch.setattr(topk_search, "MIN_SHARD_CELLS", 2)
+    rows = [(i, [float(i), 1.0]) for i in range(1, 30)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = spark.createDataFrame(
+        [(100, [1.0, 0.0]), (100, [1.0, 0.0]), (100, [-1.0, 0.0])], frame.schema
+    )
+    found = topk_search.top_k(frame, asked, k=3, scale=1).orderBy("rank", "vec_id")
+    assert [tuple(r) for r in found.collect()] == [
+        (100, 1, 1, -1), (100, 1, 29, 29), (100, 2, 2, -2), (100, 2, 28, 28), (100, 3, 3, -3), (100, 3, 27, 27),
+    ]
+
+
+def test_essential_terms_follow_the_threshold_and_no_hit_is_lost(monkeypatch):
+    monkeypatch.setattr(topk_search, "BLOCK", 256)
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(8, 64))
     vectors = np.floor((centres[rng.integers(0, 8, 3000)] + 0.1 * rng.normal(size=(3000, 64))) * 100).astype(np.int64)
-    shard = topk_search.Shard(np.arange(3000), vectors)
+    shard, whole = topk_search.Shard(np.arange(3000), vectors), vectors.size
+
+    def work(q, threshold=None):
+        shard.traversed = shard.probed = 0
+        ids, scores = shard.top(q, vectors[q], 10, threshold)
+        return ids, scores, shard.traversed, shard.probed
+
     for q in (0, 7, 2999):
-        ids, scores = shard.top(q, vectors[q], 10)
+        ids, scores, traversed, probed = work(q)
         exact = vectors @ vectors[q]
         exact[q] = -(10**15)
         want = np.lexsort((np.arange(3000), -exact))[:10]
         assert (ids == want).all() and (scores == exact[want]).all()
+        # All terms are essential in the first block only.
+        assert 256 * 64 < traversed < whole * 0.6 and traversed + probed < whole * 0.7
+        again = work(q, int(scores[-1]))  # handed in, as from another shard
+        assert (again[0] == want).all() and again[2] < traversed
+        assert work(q, int(np.abs(vectors).max() ** 2 * 64 + 1))[2:] == (0, 0)  # no term is essential
