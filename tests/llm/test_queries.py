@@ -12,7 +12,7 @@ from snapmart.llm import chat, packing, pii, sharding
 from snapmart.llm.queries import QUERIES, SQL
 from tests.compare import compare, duck
 from tests.llm.helpers import empty, plain_bytes, plain_words, words
-from tests.llm.test_selection import plain_features, plain_kept, water
+from tests.llm.test_selection import plain_kept, water
 from tests.llm.test_simhash import plain_print, plain_roots
 from tests.llm.test_text_operators import plain_spans
 
@@ -156,7 +156,7 @@ def test_pipeline_agrees_with_a_plain_version(spark, documents):
     def read(name):
         return sorted((r.doc_id, r.text, r.source) for r in out[name].collect())
 
-    kept = [d for d in documents if plain_kept(plain_features(d[1]))]
+    kept = [d for d in documents if plain_kept(d[1])]
     assert read("quality_rules") == kept
     roots = plain_roots([plain_print(d[1]) for d in kept])
     single = [d for i, d in enumerate(kept) if roots[i] == i]

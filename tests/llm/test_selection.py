@@ -1,6 +1,7 @@
 """Quality rules, source mixing and sharding."""
 
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -24,12 +25,14 @@ def plain_features(text) -> dict:
     }
 
 
-def plain_kept(f: dict) -> bool:
+def plain_kept(text) -> bool:
+    f, found = plain_features(text), words(text or "")
     n = f["n_words"]
+    lettered = sum(any(unicodedata.category(c)[0] == "L" for c in w) for w in found)
     return not (
         n < 20 or f["n_repeat_words"] * 100 > n * 30 or f["n_symbols"] > n * 0.5
         or f["n_dup_lines"] > f["n_lines"] * 0.5 or f["word_chars"] < n * 1.5
-        or f["word_chars"] > n * 25
+        or f["word_chars"] > n * 25 or lettered * 100 < n * 30 or len(set(found)) ** 2 * 4 < n
     )
 
 
@@ -37,29 +40,35 @@ QUALITY_TEXTS = [
     prose(1, 100), prose(1, 12), "\n".join(["same line of words here"] * 9 + [prose(2, 60)]),
     " | ".join(prose(3, 50).split()), "a b " * 30, prose(4, 30) + " " + " ".join(prose(5, 8).split() * 2),
     "x" * 900 + " " + prose(6, 19), "é ü ß " + prose(7, 40) + "\r\n\x0b\x0c\n\n",
+    " ".join(str(1000 + i) for i in range(40)), " ".join(f"{i} жук" for i in range(100, 130)),
+    " ".join("abcde"[(i * i + i // 7) % 5] * (2 + i * 7 % 3) for i in range(3000)),
 ]
 
 
-def test_features_and_verdicts(spark):
+def test_features_and_verdicts(spark, monkeypatch):
     rows = awkward_rows() + [(100 + i, t, "en", "a", 0) for i, t in enumerate(QUALITY_TEXTS)]
     docs = spark.createDataFrame(rows, COLUMNS)
+    order = list(quality.rules({n: F.lit(1) for n in quality.FEATURES}, F.array(F.lit("a"))))
+    monkeypatch.setattr(quality, "rule_order", lambda *a: [{"rule": n} for n in order])
     found = quality.judge(docs, report=True).collect()
+    assert {"few_letters", "few_kinds"} & {r.failed for r in found}
     for r in found:
         want = plain_features(r.row.text)
         assert {n: r[n] for n in quality.FEATURES} == want
-        assert (r.failed is None) == plain_kept(want), r
+        assert (r.failed is None) == plain_kept(r.row.text), r
+        assert r.rules_run == (order.index(r.failed) + 1 if r.failed else len(order))
     lazy = {(r.row.doc_id, r.row.text): r.failed for r in quality.judge(docs).collect()}
     assert lazy == {(r.row.doc_id, r.row.text): r.failed for r in found} or all(
         (lazy[(r.row.doc_id, r.row.text)] is None) == (r.failed is None) for r in found
     )
     kept = quality.keep_good(awkward(spark))
     assert kept.columns == awkward(spark).columns
-    assert kept.count() == sum(plain_kept(plain_features(r[1])) for r in awkward_rows())
+    assert kept.count() == sum(plain_kept(r[1]) for r in awkward_rows())
 
 
 def test_the_order_of_rules_changes_no_verdict(spark):
     docs = spark.createDataFrame([(t,) for t in QUALITY_TEXTS], "text string")
-    names = list(quality.rules({n: F.lit(1) for n in quality.FEATURES}))
+    names = list(quality.rules({n: F.lit(1) for n in quality.FEATURES}, F.array(F.lit("a"))))
     verdicts = []
     for order in (names, names[::-1]):
         out = docs.select(quality.first_failed(F.col("text"), order).alias("f")).collect()
@@ -67,10 +76,31 @@ def test_the_order_of_rules_changes_no_verdict(spark):
     assert verdicts[0] == verdicts[1]
 
 
+@pytest.mark.parametrize("report", [True, False])
+def test_rules_behind_a_rejecting_one_do_not_run(spark, monkeypatch, report):
+    """A rule that fails the job when it is looked at, behind one that rejects short texts."""
+    docs = spark.createDataFrame([(1, prose(1, 5)), (2, prose(2, 9))], "doc_id long, text string").repartition(2)
+    known = quality.rules
+
+    def with_trap(f, found):
+        trap = F.raise_error(F.concat(F.lit("looked at "), found[0])).cast("boolean")
+        return {**known(f, found), "trap": trap}
+
+    monkeypatch.setattr(quality, "rules", with_trap)
+    for names, runs in ((["few_words", "trap"], True), (["trap", "few_words"], False)):
+        monkeypatch.setattr(quality, "rule_order", lambda *a, n=names: [{"rule": r} for r in n])
+        judged = quality.judge(docs, report=report)
+        if runs:
+            assert {r.failed for r in judged.collect()} == {"few_words"}
+        else:
+            with pytest.raises(Exception, match="looked at"):
+                judged.collect()
+
+
 def test_rules_are_ordered_by_rejections_per_cost(spark):
     docs = spark.createDataFrame([("too short",)] * 40 + [(prose(1, 50),)], "text string")
     order = quality.rule_order(docs)
-    assert sorted(r["rule"] for r in order) == sorted(quality.rules({n: F.lit(1) for n in quality.FEATURES}))
+    assert sorted(r["rule"] for r in order) == sorted(quality.rules({n: F.lit(1) for n in quality.FEATURES}, F.array(F.lit("a"))))
     gain = [r["share"] / r["cost"] for r in order]
     assert gain == sorted(gain, reverse=True) and order[0]["share"] > 0.9
     assert quality.keep_good(empty(spark)).count() == 0
