@@ -1,7 +1,8 @@
 """Landed JSON: whole documents (an envelope or a bare array per file) or JSON Lines.
 
-A whole document is one task, so large landings should be JSON Lines, which Spark splits; lines
-that are single records go through ``read_records``, which skips the flattening.
+A whole document is one task, so large landings should be JSON Lines, which Spark splits, or be
+read by ``snapmart.sources.split``; lines that are single records go through ``read_records``,
+which skips the flattening.
 Scalars are read as text; ``normalise_records`` casts them, so a misfit is seen, not lost.
 """
 
@@ -241,7 +242,14 @@ def read_envelope(
     layout: str = "lines",
     fields: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Records of a section from every document below ``path``."""
+    """Records of a section from every document below ``path``.
+
+    ``layout`` is 'lines', 'files', or 'split' for files of one huge document each.
+    """
+    if layout == "split":
+        from snapmart.sources.split import read_split
+
+        return read_split(spark, path, section, fields)
     return flatten_documents(read_documents(spark, path, layout), section, fields)
 
 
