@@ -36,7 +36,7 @@ SKIP_STRENGTH = 6.0
 HARMLESS = (
     "2024-01-31", "31.12.1999", "01/02/2003", "12:30:45", "1990-2000", "1998", "v1.2.3", "$1,299.00",
     "45%", "978-3-16-148410-0", "1.", "3.14", "A4", "2nd", "Q3-2021", "10-12", "1,000,000",
-    "2001-09-11T08:46:40", "#123", "x86-64",
+    "2001-09-11T08:46:40", "#123", "x86-64", "10.2.3.400", "999.1.2.3", "1.2.3.4567",
 )
 HARMLESS_EVERY = 50
 #: Pairs of labels counted before any is seen; few pairs then say little.
@@ -46,6 +46,7 @@ _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9][0-9.]*")
 _NUMBER = re.compile(r"[0-9]+")
+_PART = re.compile(r"[0-9]{1,3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]\S*")
@@ -137,7 +138,7 @@ def shape(token: str, before: str, after: str) -> list[float]:
         12 <= n <= 19, n >= 20, dots == 0, dots == 1, dots == 2, dots == 3, dots >= 4,
         token.startswith("+"), "(" in token and ")" in token, "-" in token, letters > 0,
         letters == 0, core.isdigit(), 12 <= n <= 19 and luhn(digits),
-        len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts),
+        len(parts) == 4 and all(_PART.fullmatch(p) and int(p) <= 255 for p in parts),
         "=" in token, '"' in token, any(c.isupper() for c in token), len(token) > 24,
         before.startswith("+"), "(" in before, after.startswith("("), "-" in after,
     ]
