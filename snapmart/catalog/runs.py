@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapmart import schemas
@@ -76,40 +76,51 @@ BROKEN_EVERY = 97
 ENVELOPE = 5
 
 
-def _dirty(spark: SparkSession, sf: str) -> DataFrame:
+def _dirty(events: DataFrame, *keep: str) -> DataFrame:
     kind = F.when(F.col("event_id") % 11 > 0, F.col("record_type"))
-    return I.facts(spark, sf).withColumn("record_type", kind)
+    return I.facts_of(events, *keep).withColumn("record_type", kind)
 
 
 def _land(spark: SparkSession, sf: str, layout: str) -> tuple[str, str]:
     """Facts by year, in the order of their events, and countries, as JSON.
 
     'records' lands a record per line; 'lines' lands envelopes and bare arrays in turn, with
-    ``ENVELOPE`` records each. One line in ``BROKEN_EVERY`` records is broken.
+    ``ENVELOPE`` records each. One line in ``BROKEN_EVERY`` records is broken. Lines are dealt by year and
+    event, so a year may lie in several files, whose names keep the order.
     """
     facts, people = scratch_path(spark, "landing"), scratch_path(spark, "countries")
     fields = [F.col(c).alias(f) for c, f in schemas.RECORD_FIELDS.items()]
-    rows = _dirty(spark, sf).select("event_id", *fields)
     order, record = F.col("event_id"), F.struct(*schemas.RECORD_FIELDS.values())
-    broken = rows.filter(order % BROKEN_EVERY == 0).select(
-        F.col("year").alias("folder"), (order + 0.5).alias("place"), F.lit('{"countryCode": 1,').alias("value")
+    # Events are dealt as they are given: what finds the bounds reads them too, and neither the grouping
+    # nor the order needs another exchange.
+    events = I.table(spark, sf, "events").withColumns(
+        {"folder": I.year_of(F.col("ts")), "group": F.floor(order / (ENVELOPE * 31))}
     )
+    rows = _dirty(events.repartitionByRange("folder", "group"), "folder", "group")
+    rows = rows.select("folder", "group", "event_id", *fields)
+
+    def line(place: Column, value: Column) -> Column:
+        return F.struct(place.cast("double").alias("place"), value.alias("value"))
+
+    def broken(place: Column) -> Column:
+        return line(place + 0.5, F.lit('{"countryCode": 1,'))
+
     if layout == "records":
-        whole = rows.select(F.col("year").alias("folder"), order.cast("double").alias("place"),
-                            F.to_json(record).alias("value"))
+        own = F.array(line(order, F.to_json(record)))
+        both = F.when(order % BROKEN_EVERY == 0, F.concat(own, F.array(broken(order)))).otherwise(own)
+        lines = rows.select("folder", F.inline(both))
     else:
-        group = F.floor(order / (ENVELOPE * 31))
-        docs = rows.groupBy("year", group.alias("group")).agg(
-            F.array_sort(F.collect_list(F.struct("event_id", record.alias("r")))).alias("rs")
+        docs = rows.select("folder", "group", "event_id", record.alias("r")).groupBy("folder", "group").agg(
+            F.array_sort(F.collect_list(F.struct("event_id", "r"))).alias("rs")
         )
         records = F.transform("rs", lambda x: x["r"])
         bare = F.to_json(records)
         envelope = F.to_json(F.struct(records.alias("footprint_data"), F.array().cast("array<string>").alias("record_types")))
-        whole = docs.select(
-            F.col("year").alias("folder"), F.col("rs")[0]["event_id"].cast("double").alias("place"),
-            F.when(F.col("group") % 2 == 0, bare).otherwise(envelope).alias("value"),
-        )
-    lines = whole.union(broken).repartitionByRange("folder").sortWithinPartitions("folder", "place")
+        whole = line(F.col("rs")[0]["event_id"], F.when(F.col("group") % 2 == 0, bare).otherwise(envelope))
+        cut = F.filter("rs", lambda x: x["event_id"] % BROKEN_EVERY == 0)
+        both = F.concat(F.array(whole), F.transform(cut, lambda x: broken(x["event_id"])))
+        lines = docs.select("folder", F.inline(both))
+    lines = lines.sortWithinPartitions("folder", "place")
     lines.select("value", F.col("folder").alias("year")).write.partitionBy("year").text(facts)
     I.countries(spark, sf).select(
         F.col("country_code").alias("countryCode"),

@@ -31,7 +31,7 @@ def in_years(year: Column, years: tuple[int, int]) -> Column:
     Over a folder column this prunes folders, since nothing else is looked at.
     """
     number = whole_number(year.cast("string"))
-    return number.isNull() | number.between(*years)
+    return F.coalesce(number.between(*years), F.lit(True))
 
 
 def _texts(fields: Sequence[str]) -> T.StructType:
@@ -164,16 +164,18 @@ def flatten_sections(
         return F.from_json(text, schema, options).alias(f"_in_{section}")
 
     parsed = first.select("*", *[inside(s, fields) for s, fields in others])
-    row_type = T.StructType([*_texts([SECTION, CORRUPT]).fields, T.StructField(ROW, T.LongType())])
-    rows_type = T.ArrayType(T.StructType([*row_type.fields, *_texts(names).fields]))
+    kinds = {s: _texts(list(fields)) for s, fields in sections.items()}
+    row_type = T.StructType([T.StructField(SECTION, T.StringType()), T.StructField(ROW, T.LongType())])
+    row_type = T.StructType([*row_type.fields, *[T.StructField(f"_of_{s}", k) for s, k in kinds.items()]])
+
+    def rows_of(section: str, records: Column) -> Column:
+        """The records as they were parsed; their fields become columns once there is a row for each."""
 
-    def rows_of(section: str, records: Column, fields: Sequence[str], corrupt: Column) -> Column:
         def row(r: Column, at: Column) -> Column:
-            cells = [(r[n] if n in fields else F.lit(None).cast("string")).alias(n) for n in names]
-            place = (at + 1).cast("bigint").alias(ROW)
-            return F.struct(F.lit(section).alias(SECTION), corrupt.alias(CORRUPT), place, *cells)
+            own = [(r if s == section else F.lit(None).cast(k)).alias(f"_of_{s}") for s, k in kinds.items()]
+            return F.struct(F.lit(section).alias(SECTION), (at + 1).cast("bigint").alias(ROW), *own)
 
-        return F.coalesce(F.transform(records, row), F.array().cast(rows_type))
+        return F.coalesce(F.transform(records, row), F.array().cast(T.ArrayType(row_type)))
 
     obj, array = F.col("_object"), F.col("_array")
     one = F.struct(*[obj[f.name].alias(f.name) for f in record])
@@ -186,13 +188,19 @@ def flatten_sections(
         .when(obj[main].isNotNull(), obj[main])
         .when(has_record, F.array(one))
     )
-    found = [rows_of(main, records, own, F.when(broken, F.col("document")))]
-    for section, fields in others:
+    found = [rows_of(main, records)]
+    for section, _ in others:
         part = F.col(f"_in_{section}")
-        usable = F.when(part[CORRUPT].isNull(), part[section])
-        found.append(rows_of(section, usable, fields, F.lit(None).cast("string")))
-    rows = parsed.select(*keep, F.explode(F.concat(*found)).alias("_rec"))
-    return rows.select(*[f"_rec.{n}" for n in names], *keep, f"_rec.{ROW}", f"_rec.{CORRUPT}", f"_rec.{SECTION}")
+        found.append(rows_of(section, F.when(part[CORRUPT].isNull(), part[section])))
+    corrupt = F.when(broken, F.col("document")).alias(CORRUPT)
+    rows = parsed.select(*keep, corrupt, F.explode(F.concat(*found)).alias("_rec"))
+
+    def cell(name: str) -> Column:
+        parts = [F.col(f"_rec._of_{s}")[name] for s, fields in sections.items() if name in fields]
+        return F.coalesce(*parts).alias(name)
+
+    of_main = F.when(F.col(f"_rec.{SECTION}") == main, F.col(CORRUPT)).alias(CORRUPT)
+    return rows.select(*[cell(n) for n in names], *keep, f"_rec.{ROW}", of_main, f"_rec.{SECTION}")
 
 
 def landed_fields(docs: DataFrame, section: str = "footprint_data") -> list[str]:

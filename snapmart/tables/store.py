@@ -108,9 +108,15 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, as a plan that joins and unions with it fold away."""
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).where(F.lit(False)).select(*none)
+
+
 def _read(spark: SparkSession, table: Table, folders: Sequence[str], evolved: bool) -> DataFrame:
     if not folders:
-        return spark.createDataFrame([], _nullable(table.schema))
+        return empty(spark, table.schema)
     paths = [f"{table.path}/{f}" for f in folders]
     if not evolved:
         return read_paths(spark, table, paths)
@@ -244,7 +250,7 @@ def stage(df: DataFrame, table: Table, order: Sequence[str] = (), conform: bool
     folders = write(rows.observe(seen, F.count("*").alias("rows")), table, below)
     path = f"{table.path}/{below}"
     fs, handle = handle_of(spark, path)
-    stored = spark.read.schema(schema).parquet(path) if folders else spark.createDataFrame([], schema)
+    stored = spark.read.schema(schema).parquet(path) if folders else empty(spark, schema)
     return Staged(
         stored.select(*schema.names), path,
         [f.split("/")[-1] for f in folders] if table.partition_by else None,
